@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, quality
 from .common import table
 
 
@@ -18,5 +18,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"))
 
 
-QUERIES = {"op10_byte_bpe": op10_byte_bpe}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe}
 ORACLES: dict[str, str] = {}
