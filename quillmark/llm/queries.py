@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, quality
+from . import bpe, mixing, pii, quality
 from .common import table
 
 
@@ -18,9 +19,24 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pii.pseudonymise(table(spark, sf_dir, "documents"), count_col="n_private")
+    return docs.select("doc_id", "text", "n_private")
+
+
+#: Production parameters: 97 % of the largest entropy, at most four passes over a source, as many tokens as there are.
+TEMPERATURE = mixing.Mix(target_entropy=0.97, max_repeats=4.0)
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = mixing.mixed(docs, TEMPERATURE)
+    return out.select("doc_id", "source", "mix_weight", F.size("mix_at").alias("copies"), "mix_at")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op3_pii": op3_pii, "op4_mixing": op4_mixing, "op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe}
 ORACLES: dict[str, str] = {}
