@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, pii, quality
+from . import bpe, mixing, neardup, pii, quality
 from .common import table
 
 
@@ -34,9 +34,13 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "mix_weight", F.size("mix_at").alias("copies"), "mix_at")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op3_pii": op3_pii, "op4_mixing": op4_mixing, "op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op3_pii": op3_pii, "op4_mixing": op4_mixing, "op5_minhash": op5_minhash, "op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe}
 ORACLES: dict[str, str] = {}
