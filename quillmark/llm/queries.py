@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, neardup, pii, quality
-from .common import table
+from . import bpe, fingerprint, mixing, neardup, pii, quality, rans
+from .common import scratch, table
 
 
 def tokenizer(name: str) -> str:
@@ -38,9 +38,19 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = scratch(spark)
+    rans.write(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), at)
+    return rans.digests(spark, at)
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compared(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op3_pii": op3_pii, "op4_mixing": op4_mixing, "op5_minhash": op5_minhash, "op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op3_pii": op3_pii, "op4_mixing": op4_mixing, "op5_minhash": op5_minhash, "op6_rans": op6_rans, "op7_fingerprints": op7_fingerprints, "op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe}
 ORACLES: dict[str, str] = {}
