@@ -77,14 +77,14 @@ def starts_of(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
     return start
 
 
-def slices(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """UTF-8 of all texts in one, byte offsets of the slices (with the end), and the slices before each text."""
+def slices(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """UTF-8 of all texts in one, byte offsets of the slices (with the end), their code point offsets, and the slices before each text."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     whole = "".join(texts)
     at = np.concatenate([[0], np.cumsum(sizes)])
     cp = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
     if not len(cp):
-        return b"", np.zeros(1, np.int64), np.zeros(len(texts) + 1, np.int64)
+        return b"", np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(len(texts) + 1, np.int64)
     first = np.zeros(len(cp), bool)
     first[at[:-1][sizes > 0]] = True
     start = starts_of(cp, first)
@@ -94,7 +94,7 @@ def slices(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
     ends = np.cumsum(width)
     cut = np.flatnonzero(start)
     offsets = np.append((ends - width)[cut], ends[-1])
-    return whole.encode(), offsets, np.searchsorted(cut, at)
+    return whole.encode(), offsets, np.append(cut, len(cp)), np.searchsorted(cut, at)
 
 
 class Merges:
@@ -178,10 +178,11 @@ class Pieces(dict):
 
 
 class Tokens:
-    """Token ids of some texts: ``ids[bounds[k]:bounds[k + 1]]`` are those of text k, ``offsets`` the byte offset of every slice."""
+    """Token ids of some texts: ``ids[bounds[k]:bounds[k + 1]]`` are those of text k; slices ``per_text[k]`` up to
+    ``per_text[k + 1]`` are its own, with ``counts`` tokens each, at the byte ``offsets`` and code points ``cut``."""
 
     def __init__(self, texts: list[str], pieces: Pieces, prepare=None):
-        raw, self.offsets, per_text = slices(texts)
+        raw, self.offsets, self.cut, per_text = slices(texts)
         cut = self.offsets.tolist()
         found = [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)]
         if len(pieces) > CACHE:
@@ -248,8 +249,8 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     return encoded.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, bytes binary")
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode, then decode the ids, in one pass: (id, n_tokens, ids_sha256, decoded_sha256)."""
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+    """Encode, then decode the ids, in one pass: (id, n_tokens, ids_sha256, decoded_sha256[, ids])."""
 
     def run(batches):
         pieces, vocabulary = codec(path)
@@ -259,7 +260,8 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 each = [t.ids[i:j] for i, j in zip(t.bounds[:-1], t.bounds[1:], strict=True)]
                 sha = [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in each]
                 back = [hashlib.sha256(b"".join(map(vocabulary.__getitem__, x.tolist()))).hexdigest() for x in each]
-                yield pa.record_batch([b.column(0)[a:z], pa.array(np.diff(t.bounds), pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+                ids = [pa.ListArray.from_arrays(pa.array(t.bounds, pa.int32()), pa.array(t.ids.view(np.int32)))] if keep_ids else []
+                yield pa.record_batch([b.column(0)[a:z], pa.array(np.diff(t.bounds), pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string()), *ids], [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)

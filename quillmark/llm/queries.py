@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, mixing, neardup, pii, quality, rans
+from . import bpe, edits, fingerprint, html, mixing, neardup, pii, quality, rans
 from .common import scratch, table
 
 
@@ -19,6 +19,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"))
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edits.edited_counts(table(spark, sf_dir, "documents"), edits.sample_edits(), tokenizer("byte_bpe_50k.tiktoken"))
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pii.pseudonymise(table(spark, sf_dir, "documents"), count_col="n_private")
     return docs.select("doc_id", "text", "n_private")
@@ -52,5 +60,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op3_pii": op3_pii, "op4_mixing": op4_mixing, "op5_minhash": op5_minhash, "op6_rans": op6_rans, "op7_fingerprints": op7_fingerprints, "op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_main_text": op2_main_text, "op3_pii": op3_pii, "op4_mixing": op4_mixing, "op5_minhash": op5_minhash, "op6_rans": op6_rans, "op7_fingerprints": op7_fingerprints, "op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe}
 ORACLES: dict[str, str] = {}
