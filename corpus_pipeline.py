@@ -3,15 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillmark.llm import common
+from quillmark.llm import bpe, common, mixing, neardup, pii, quality
+from quillmark.llm.queries import tokenizer
 
-STAGES: list = []
+#: No budget: every document is drawn at least once; rarer sources up to one and a half times as often.
+MIX = mixing.Mix(max_repeats=1.5)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score reaches the threshold of the ranking."""
+    ranker = quality.fit(docs, common.table(spark, sf_dir, "labels"))
+    return quality.score(docs, ranker).where("quality_score >= 0.5").select(docs.columns)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates; rows without an id stay."""
+    gone = neardup.near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts gives way to pseudonyms; addresses may change in length, so lengths are counted anew."""
+    out = pii.pseudonymise(docs)
+    return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else out
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copies as the mixture draws them, in the order of their places in it."""
+    drawn = mixing.mixed(docs, MIX).withColumn("mix_at", F.explode("mix_at"))
+    n = common.parts(spark)
+    return drawn.repartitionByRange(n, "mix_at").sortWithinPartitions("mix_at").select(docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of every copy."""
+    return bpe.round_trip(docs, tokenizer("byte_bpe_50k.tiktoken"), keep_ids=True)
+
+
+STAGES = [("quality", good_quality), ("near_duplicates", without_near_duplicates), ("pii", pseudonyms), ("mixing", mixed_sources), ("bpe", token_ids)]
+#: The fitted ranking, MinHash classes and keyed permutations are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = common.staged(stage(spark, docs, sf_dir), f"{common.scratch(spark)}/{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
