@@ -30,8 +30,10 @@ from pyspark.sql import DataFrame
 OTHER, LETTER, NUMBER, SPACE = range(4)
 # The code points of the Unicode property White_Space.
 WHITE_SPACE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, 0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
-#: Distinct slices that a worker keeps; beyond that it starts anew, which changes no result.
-CACHE = 500_000
+#: Distinct slices that a worker keeps; beyond that it forgets those that came once, which changes no result.
+CACHE = 700_000
+#: Slices up to this length are told apart by two hashes, longer ones by their bytes.
+HASHED = 256
 #: Code points that are worked on at once.
 CHUNK = 1 << 20
 
@@ -77,14 +79,14 @@ def starts_of(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
     return start
 
 
-def slices(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
-    """UTF-8 of all texts in one, byte offsets of the slices (with the end), their code point offsets, and the slices before each text."""
+def slices(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """UTF-8 and code points of all texts in one, byte offsets of the slices (with the end), their code point offsets, and the slices before each text."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     whole = "".join(texts)
     at = np.concatenate([[0], np.cumsum(sizes)])
     cp = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
     if not len(cp):
-        return b"", np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(len(texts) + 1, np.int64)
+        return b"", cp, np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(len(texts) + 1, np.int64)
     first = np.zeros(len(cp), bool)
     first[at[:-1][sizes > 0]] = True
     start = starts_of(cp, first)
@@ -94,7 +96,7 @@ def slices(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]
     ends = np.cumsum(width)
     cut = np.flatnonzero(start)
     offsets = np.append((ends - width)[cut], ends[-1])
-    return whole.encode(), offsets, np.append(cut, len(cp)), np.searchsorted(cut, at)
+    return whole.encode(), cp, offsets, np.append(cut, len(cp)), np.searchsorted(cut, at)
 
 
 class Merges:
@@ -161,11 +163,7 @@ class Pieces(dict):
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
-        self.empty()
-
-    def empty(self) -> None:
-        self.clear()
-        self.flat, self.ends = array("I"), array("q", [0])
+        self.flat, self.ends, self.hits = array("I"), array("q", [0]), np.zeros(0, np.int64)
 
     def add(self, piece: bytes, ids: Iterable[int]) -> int:
         self.flat.extend(ids)
@@ -176,24 +174,76 @@ class Pieces(dict):
     def __missing__(self, piece: bytes) -> int:
         return self.add(piece, self.encode(piece))
 
+    def hit(self, k: np.ndarray) -> None:
+        if len(self.ends) > len(self.hits):
+            self.hits = np.concatenate([self.hits, np.zeros(len(self.ends), np.int64)])
+        self.hits[k] += 1
+
+    def trim(self) -> None:
+        """Keep the slices that came in more than one chunk, and half of the room at most."""
+        if len(self) <= CACHE:
+            return
+        hits = self.hits[: len(self.ends) - 1]
+        least = max(2, int(np.partition(hits, -CACHE // 2)[-CACHE // 2]))
+        flat, ends, old = self.flat, self.ends, list(self.items())
+        self.clear()
+        self.flat, self.ends, self.hits = array("I"), array("q", [0]), np.zeros(0, np.int64)
+        for piece, k in old:
+            if k < len(hits) and hits[k] >= least and len(self) < CACHE // 2:
+                self.add(piece, flat[ends[k] : ends[k + 1]])
+
+
+@functools.cache
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for b in (base, pow(base, -1, 1 << 64)):
+        p = np.full(n, b, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
+
+
+def hashes(cp: np.ndarray, cut: np.ndarray, base: int) -> np.ndarray:
+    """A hash of each slice from one running sum over all code points."""
+    size = 1 << max(20, (len(cp) + 1).bit_length())
+    up, down = _powers(base, size)
+    run = np.empty(len(cp) + 1, np.uint64)
+    run[0] = 0
+    np.cumsum((cp.astype(np.uint64) + np.uint64(1)) * up[: len(cp)], out=run[1:])
+    return ((run[cut[1:]] - run[cut[:-1]]) * down[cut[:-1]]) ^ (np.diff(cut).astype(np.uint64) << np.uint64(48))
+
 
 class Tokens:
     """Token ids of some texts: ``ids[bounds[k]:bounds[k + 1]]`` are those of text k; slices ``per_text[k]`` up to
-    ``per_text[k + 1]`` are its own, with ``counts`` tokens each, at the byte ``offsets`` and code points ``cut``."""
+    ``per_text[k + 1]`` are its own, with ``counts`` tokens each, at the byte ``offsets`` and code points ``cut``.
+
+    Each distinct slice of the texts is looked up once.
+    """
 
     def __init__(self, texts: list[str], pieces: Pieces, prepare=None):
-        raw, self.offsets, self.cut, per_text = slices(texts)
-        cut = self.offsets.tolist()
-        found = [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)]
-        if len(pieces) > CACHE:
-            pieces.empty()
+        raw, cp, self.offsets, self.cut, per_text = slices(texts)
+        pieces.trim()
+        n = len(self.cut) - 1
+        first, inverse = np.arange(n), np.arange(n)
+        if n > 64:
+            h = hashes(cp, self.cut, 0x9E3779B97F4A7C15)
+            long = np.flatnonzero(np.diff(self.cut) > HASHED)
+            h[long] = long  # each for itself
+            _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+            check = hashes(cp, self.cut, 0xD6E8FEB86659FD93)
+            check[long] = 0
+            if (check[first][inverse] != check).any():  # two slices of one hash
+                first, inverse = np.arange(n), np.arange(n)
+        found = [raw[a:b] for a, b in zip(self.offsets[first].tolist(), self.offsets[first + 1].tolist(), strict=True)]
         if prepare:
             prepare(pieces, found)
         k = np.fromiter(map(pieces.__getitem__, found), np.int64, len(found))
+        pieces.hit(k)
         ends, flat = np.array(pieces.ends), np.array(pieces.flat, dtype=np.uint32)
-        self.counts = (ends[1:] - ends[:-1])[k] if len(k) else np.zeros(0, np.int64)
+        k = k[inverse]
+        self.counts = (ends[1:] - ends[:-1])[k] if n else np.zeros(0, np.int64)
         upto = np.concatenate([[0], np.cumsum(self.counts)])
-        where = np.arange(upto[-1]) + np.repeat(ends[:-1][k] - upto[:-1], self.counts) if len(k) else np.zeros(0, np.int64)
+        where = np.arange(upto[-1]) + np.repeat(ends[:-1][k] - upto[:-1], self.counts) if n else np.zeros(0, np.int64)
         self.ids, self.bounds, self.per_text = flat[where], upto[per_text], per_text
 
 

@@ -125,11 +125,23 @@ def library(path: str):
 
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
+    size = np.zeros(t.get_vocab_size(), np.int64)  # bytes of each token; its text has a letter for every byte
+    for token, k in t.get_vocab().items():
+        size[k] = len(token)
 
     def prepare(pieces: bpe.Pieces, found: list[bytes]) -> None:
         unseen = [x for x in dict.fromkeys(found) if x not in pieces]
-        for piece, e in zip(unseen, t.encode_batch([x.decode() for x in unseen], add_special_tokens=False), strict=True):
-            pieces.add(piece, e.ids)
+        if not unseen:
+            return
+        # the slices are the library's own; handed over apart, they are encoded apart
+        ids = t.encode_batch_fast([[x.decode() for x in unseen]], is_pretokenized=True, add_special_tokens=False)[0].ids
+        ends = np.searchsorted(np.cumsum(size[ids]), np.cumsum([len(x) for x in unseen]), "right").tolist()
+        if ends[-1] != len(ids) or size[ids].sum() != sum(map(len, unseen)):
+            raise ValueError("token ids don't cover the slices")
+        a = 0
+        for piece, z in zip(unseen, ends, strict=True):
+            pieces.add(piece, ids[a:z])
+            a = z
 
     return bpe.Pieces(None), prepare
 
@@ -159,11 +171,10 @@ def counts_of(tokens: DataFrame) -> np.ndarray:
     def run(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for data in b.column(0).to_pylist():
-                c = np.bincount(unpacked(data))
-                if len(c) > len(total):
-                    c, total = total, c.astype(np.int64)
-                total[: len(c)] += c
+            c = np.bincount(np.concatenate([unpacked(x) for x in b.column(0).to_pylist()] or [np.zeros(0, np.uint16)]))
+            if len(c) > len(total):
+                c, total = total, c.astype(np.int64)
+            total[: len(c)] += c
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["token", "c"])
 
