@@ -10,9 +10,10 @@ but for a chance of about 1e-5, as their distance is binomial with mean 16. What
 full shingle sets.
 
 Only classes of documents with equal sets are compared. An entry's members are first compared with
-the smallest of them; what stays unlinked after that is compared across components only, in blocks
-of bounded size, and a pair is compared under the first entry that it shares. Components come
-from label propagation on the confirmed links with Spark joins.
+the smallest of them. Rows that this leaves in other components than their smallest member are then
+compared with all members, in pieces of bounded size that return no more links than join their
+components, so neither step makes a row for each pair of a group. Components come from label
+propagation on the confirmed links with Spark joins.
 
 Defined results: null, empty and blank texts have no shingle and are linked with nothing; a text of
 one to four words is one shingle; repeated rows share a set; a null id takes part under no name (its row keeps null
@@ -35,8 +36,8 @@ CHUNK = 4
 RADIUS = 31
 #: Of all 256 positions: 64 + 4.2 standard deviations of the binomial at similarity 0.75.
 WHOLE_RADIUS = 93
-#: Members of one entry that are compared at once.
-BLOCK = 1024
+#: Most members of one group that stand on either side of a piece of work, and about as many shingles.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 KEEP, OF = 75, 100
 
 _rng = np.random.default_rng(5)
@@ -135,9 +136,9 @@ def like_sizes(a, b):
     return OF * F.least(a, b) >= KEEP * F.greatest(a, b)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets are similar enough."""
-    kind = dict(pairs.dtypes)["a"]
+def full_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, set): the sorted shingle hashes of the documents whose ids are given."""
+    kind = dict(ids.dtypes)["id"]
 
     def run(batches):
         for b in batches:
@@ -148,9 +149,13 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
             values = np.concatenate(flat) if flat else np.zeros(0, np.uint64)
             yield pa.record_batch([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))], ["id", "set"])
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(needed, "id", "left_semi").dropDuplicates(["id"])
-    sets = texts.mapInArrow(run, f"id {kind}, set array<long>")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(ids.distinct(), "id", "left_semi").dropDuplicates(["id"])
+    return texts.mapInArrow(run, f"id {kind}, set array<long>")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets are similar enough."""
+    sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, id_col, text_col)
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
     both = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("i"), (F.size("x") + F.size("y")).cast("long").alias("s"))
     return both.where(OF * F.col("i") >= KEEP * (F.col("s") - F.col("i"))).select("a", "b")
@@ -180,116 +185,155 @@ def components(links: DataFrame, at: str) -> DataFrame:
             return labels.select("id", F.col("l").alias("component"))
 
 
-def across(members: DataFrame) -> DataFrame:
-    """Pairs of close signatures under one key whose labels differ. ``members``: key, id, n, label, sig.
+def close_rows(i, now, mine, n, sig, right) -> np.ndarray:
+    """Places in ``right`` of rows under other labels than ``mine`` whose sizes and signatures are close to row i's."""
+    at = np.flatnonzero((now != mine) & (OF * np.minimum(n[i], n[right]) >= KEEP * np.maximum(n[i], n[right])))
+    if len(at):
+        at = at[(sig[right[at], :INDEXED] != sig[i, :INDEXED]).sum(1) <= RADIUS]
+        at = at[(sig[right[at]] != sig[i]).sum(1) <= WHOLE_RADIUS]
+    return at
+
+
+def links_of(ids, n, label, sig, sets, left, right):
+    """Confirmed links of the rows ``left`` to the rows ``right``, as many as join their labels.
 
-    A key with more than ``BLOCK`` members is split into blocks, and every pair of blocks is one group.
-    A pair comes from the first key that it shares only, so it comes once.
+    A row's close signatures under other labels are confirmed on the full sets, all in one search.
     """
-    kind = dict(members.dtypes)["id"]
-    sizes = members.groupBy("key").agg(F.count("*").alias("g"))
-    m = members.join(sizes, "key").withColumn("blocks", F.ceil(F.col("g") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
-    m = m.select("key", "id", "n", "label", "sig", "block", other).withColumns({"p": F.least("block", "o"), "q": F.greatest("block", "o")})
-    m = m.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-
-    def found(ids, n, label, block, sig, slot, p, q):
-        left = np.flatnonzero(block == p)
-        right = np.flatnonzero(block == q)
-        short = sig[:, :INDEXED]
-        for a in range(0, len(left), 64):
-            i = left[a : a + 64]
-            ok = label[i][:, None] != label[right][None, :]
-            ok &= OF * np.minimum(n[i][:, None], n[right][None, :]) >= KEEP * np.maximum(n[i][:, None], n[right][None, :])
-            if p == q:
-                ok &= ids[i][:, None] < ids[right][None, :]
-            x, y = np.nonzero(ok)
-            if not len(x):
-                continue
-            x, y = i[x], right[y]
-            for c in range(0, len(x), 1 << 14):
-                u, v = x[c : c + (1 << 14)], y[c : c + (1 << 14)]
-                same = short[u] == short[v]
-                near = same.sum(1) >= INDEXED - RADIUS
-                u, v, same = u[near], v[near], same[near]
-                near = (sig[u] != sig[v]).sum(1) <= WHOLE_RADIUS
-                u, v, same = u[near], v[near], same[near]
-                if not len(u):
-                    continue
-                # the first key that a pair shares: first chunk with three equal values, first position left out
-                chunk = same.reshape(len(u), -1, CHUNK)
-                first = (chunk.sum(2) >= CHUNK - 1).argmax(1)
-                at = chunk[np.arange(len(u)), first]
-                out = np.where(at.all(1), 0, (~at).argmax(1))
-                mine = first * CHUNK + out == slot
-                yield np.minimum(ids[u[mine]], ids[v[mine]]), np.maximum(ids[u[mine]], ids[v[mine]])
+    up: dict[int, int] = {}
+
+    def root(x):
+        while x in up:
+            x = up[x]
+        return x
+
+    now = label[right].copy()
+    for i in left:
+        mine = root(int(label[i]))
+        at = close_rows(i, now, mine, n, sig, right)
+        if not len(at):
+            continue
+        own = sets[i]
+        others = [sets[k] for k in right[at]]
+        every = np.concatenate(others)
+        place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+        both = np.add.reduceat((own[place] == every).astype(np.int64), np.concatenate([[0], np.cumsum([len(x) for x in others])[:-1]]))
+        for k in at[OF * both >= KEEP * (n[i] + n[right[at]] - both)]:
+            old, mine = root(int(now[k])), root(mine)
+            if old != mine:
+                yield ids[i], ids[right[k]]
+                lost, mine = max(old, mine), min(old, mine)
+                up[lost] = mine
+                now[now == lost] = mine
+
+
+def in_pieces(members: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on the members of each group, in pieces of bounded size.
+
+    ``members``: low, id, n, label, home and more. ``home`` is the label of the group's smallest member. A pair
+    under two labels has at least one row away from home, so those rows, in blocks, meet all rows, in
+    blocks. ``work`` gets a piece's rows; ``first`` marks those that stand on the first side.
+    """
+    away = F.col("label") != F.col("home")
+    size = lambda rows, shingles: F.greatest(F.lit(1), F.ceil(rows / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+    sizes = members.groupBy("low").agg(
+        size(F.count("*"), F.sum("n")).alias("qs"), size(F.count_if(away), F.sum(F.when(away, F.col("n")).otherwise(0))).alias("ps")
+    )
+    m = members.join(sizes, "low")
+    cols = [c for c in members.columns if c != "home"]
+    h = F.xxhash64("id")
+    every = F.sequence(F.lit(0), F.col("ps") - 1), F.sequence(F.lit(0), F.col("qs") - 1)
+    as_right = m.select(*cols, F.explode(every[0]).alias("p"), F.pmod(h, F.col("qs")).cast("int").alias("q"), F.lit(False).alias("first"))
+    as_left = m.where(away).select(*cols, F.pmod(h, F.col("ps")).cast("int").alias("p"), F.explode(every[1]).alias("q"), F.lit(True).alias("first"))
+    dealt = as_right.unionByName(as_left).repartition("low", "p", "q").sortWithinPartitions("low", "p", "q", "id", "first")
 
     def run(batches):
         kept, group = [], None
         for b in batches:
-            k = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "p", "q")], 1)
+            k = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("low", "p", "q")], 1)
             cut = np.concatenate([[0], np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1, [len(k)]]) if len(k) else [0]
             for a, z in zip(cut, cut[1:], strict=False):
                 now = tuple(k[a].tolist())
                 if now != group and kept:
-                    yield from emit(group, kept)
+                    yield from work(pa.Table.from_batches(kept))
                     kept = []
                 group = now
                 kept.append(b.slice(a, z - a))
         if kept:
-            yield from emit(group, kept)
-
-    def emit(group, kept):
-        t = pa.Table.from_batches(kept)
-        if len(t) < 2:
-            return
-        col = lambda c: t.column(c).to_numpy()
-        out = list(found(col("id"), col("n"), col("label"), col("block"), signatures(t.column("sig")), group[0] >> 48, group[1], group[2]))
+            yield from work(pa.Table.from_batches(kept))
+
+    return dealt.mapInArrow(run, schema)
+
+
+def involved(members: DataFrame) -> DataFrame:
+    """(low, id) of the members that are close to any member under another label, by sizes and signatures."""
+    kind = dict(members.dtypes)["id"]
+
+    def work(t: pa.Table):
+        ids, n, label, first = (t.column(c).to_numpy() for c in ("id", "n", "label", "first"))
+        sig = signatures(t.column("sig"))
+        left, right = np.flatnonzero(first), np.flatnonzero(~first)
+        hit = np.zeros(len(ids), bool)
+        for i in left:
+            at = close_rows(i, label[right], label[i], n, sig, right)
+            if len(at):
+                hit[i] = True
+                hit[right[at]] = True
+        out = np.unique(ids[hit])
+        if len(out):
+            yield pa.record_batch([pa.array(np.full(len(out), t.column("low")[0].as_py())), pa.array(out)], ["low", "id"])
+
+    return in_pieces(members, work, f"low {kind}, id {kind}").distinct()
+
+
+def across(members: DataFrame) -> DataFrame:
+    """Confirmed links between members of one group whose labels differ. ``members`` hold their full sets."""
+    kind = dict(members.dtypes)["id"]
+
+    def work(t: pa.Table):
+        ids, n, label, first = (t.column(c).to_numpy() for c in ("id", "n", "label", "first"))
+        sets = [x.values.to_numpy().view(np.uint64) for c in t.column("set").chunks for x in c]
+        out = list(links_of(ids, n, label, signatures(t.column("sig")), sets, np.flatnonzero(first), np.flatnonzero(~first)))
         if out:
-            a, b = (np.concatenate([o[j] for o in out]) for j in (0, 1))
-            yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
+            a, b = np.array([o[0] for o in out]), np.array([o[1] for o in out])
+            yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    return m.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return in_pieces(members, work, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row. Ids are integers."""
+    """(id, n_shingles, component_id, kept) of every row. Ids are integers, and rows of one id have one text."""
     spark = docs.sparkSession
     at = scratch(spark)
     sets = staged(sets_of(docs, id_col, text_col), f"{at}/sets")
     named = sets.where("n > 0 and id is not null")
     # classes of equal sets; their smallest id stands for them
     first = named.groupBy("s1", "s2").agg(F.min("id").alias("id"))
-    classes = staged(named.join(first, ["s1", "s2", "id"]).dropDuplicates(["id"]).select("id", "n", "sig"), f"{at}/classes")
+    classes = staged(named.join(first.select("id"), "id", "left_semi").dropDuplicates(["id"]).select("id", "n", "sig"), f"{at}/classes")
     keys = entries(classes)
     shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.count("*").alias("g")).where("g > 1").drop("g")
-    met = staged(keys.join(shared, "key"), f"{at}/met")
+    # all entries with one smallest member make up a group: whoever shares an entry shares a group
+    met = staged(keys.join(shared, "key").select("low", "id").distinct(), f"{at}/met")
 
-    slim = classes.select("id", "n", "sig")
-    side = lambda x: slim.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"sig{x}"))
-    stars = met.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
+    side = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"sig{x}"))
+    stars = met.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
     stars = stars.join(side("a"), "a").join(side("b"), "b").where(like_sizes(F.col("na"), F.col("nb"))).where(close("siga", "sigb")).select("a", "b")
     links = staged(confirmed(stars, docs, id_col, text_col), f"{at}/stars")
     labels = components(links, f"{at}/first")
 
-    # keys whose members aren't all in one component yet
+    # groups whose members aren't all in one component yet
     label = F.coalesce("component", "id").alias("label")
-    told = met.select("key", "id").join(labels, "id", "left").select("key", "id", label)
-    open_keys = told.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    members = told.join(open_keys, "key", "left_semi").join(slim, "id")
-    rest = staged(across(members), f"{at}/across")
-    tried = rest.join(stars_seen(met), ["a", "b"], "left_anti")
-    more = staged(confirmed(tried, docs, id_col, text_col), f"{at}/more")
+    told = met.join(labels, "id", "left").select("low", "id", label)
+    homes = told.groupBy("low").agg(F.max(F.when(F.col("id") == F.col("low"), F.col("label"))).alias("home"), F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("g")).where("x <> y and g > 2")
+    members = staged(told.join(homes.select("low", "home"), "low").join(classes, "id"), f"{at}/members")
+    near = staged(involved(members), f"{at}/near")
+    members = members.join(near, ["low", "id"])
+    more = staged(across(members.join(full_sets(near.select("id"), docs, id_col, text_col), "id")), f"{at}/more")
     labels = components(links.union(more), f"{at}/second")
 
     found = first.join(labels, "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("c"))
     out = sets.join(found, ["s1", "s2"], "left")
     component = F.when(F.col("n") > 0, F.col("c")).otherwise(F.col("id")).alias("component_id")
     out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component)
-    discard(spark, f"{at}/met")
+    for done in ("met", "members"):
+        discard(spark, f"{at}/{done}")
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
-
-
-def stars_seen(met: DataFrame) -> DataFrame:
-    """Pairs that were compared with the smallest member of a key, and so need no second look."""
-    return met.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
