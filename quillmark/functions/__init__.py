@@ -1 +1 @@
-
+"""Column functions: patterns of the documents and scalar normalisers."""

@@ -1 +1 @@
-
+"""Readers, loaders and sinks."""
