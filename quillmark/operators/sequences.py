@@ -136,9 +136,9 @@ def nearest_newer(rows: DataFrame, blocks: DataFrame, on: list[str], age: list[s
     own, other = F.struct(*age), F.struct(*[F.col(f"__b_{c}").alias(c) for c in age])
     rows = rows.withColumn("__row", F.struct(*on, *age))
     keys = rows.select("__row", *on, *age).distinct()
-    best = keys.join(small, cond & (other > own)).groupBy("__row").agg(F.min(F.struct(other.alias("a"), F.struct(*[F.col(f"__b_{c}").alias(c) for c in carried]).alias("v"))).alias("m"))
+    best = keys.join(small, cond & (other > own)).groupBy("__row").agg(F.min(F.struct(other.alias("a"), F.struct(*[F.col(f"__b_{c}").alias(c) for c in carried]).alias("v"))).alias("__m"))
     out = rows.join(best, "__row", "left")
-    return out.withColumns({**{f"newer_{c}": F.col(f"m.a.{c}") for c in age}, **{f"newer_{c}": F.col(f"m.v.{c}") for c in carried}}).drop("__row", "m")
+    return out.withColumns({**{f"newer_{c}": F.col(f"__m.a.{c}") for c in age}, **{f"newer_{c}": F.col(f"__m.v.{c}") for c in carried}}).drop("__row", "__m")
 
 
 def page_labels(df: DataFrame, page: list[str], page_number: Column, order: list, name: str = "label") -> DataFrame:
