@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, edits, fingerprint, html, mixing, nearest, neardup, pii, quality, rans
+from . import bpe, edits, fingerprint, html, mixing, nearest, neardup, oracles, pii, quality, rans
 from .common import scratch, table
 
 
@@ -65,4 +65,4 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_token_counts": op1_token_counts, "op2_main_text": op2_main_text, "op3_pii": op3_pii, "op4_mixing": op4_mixing, "op5_minhash": op5_minhash, "op6_rans": op6_rans, "op7_fingerprints": op7_fingerprints, "op8_nearest": op8_nearest, "op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op2_main_text": oracles.OP2, "op5_minhash": oracles.OP5}
