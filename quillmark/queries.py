@@ -638,6 +638,35 @@ def quality_violations(spark, sf_dir):
     })
 
 
+@query(DOC_LINES + """
+, t as (select doc_id, 'L' || (doc_id % 7) as label, cast(doc_id % 3 as int) pg, cast(doc_id % 31 as int) line from documents union all select doc_id, 'M', cast(doc_id % 3 as int), cast(doc_id % 31 as int) from documents where doc_id % 5 = 0),
+x as (select t.doc_id, t.label, t.pg, case when t.line = 0 then 0 else coalesce(min(d.ix) filter (d.ln = t.line), max(d.ix) filter (d.ln <= t.line), -1) end ix from t left join d on t.doc_id=d.doc_id and t.pg=d.pg group by t.doc_id, t.label, t.pg, t.line),
+u as (select doc_id, pg, ix, '' as label, raw txt from d union all select doc_id, pg, ix, label, 'Insert ' || label from x where ix >= 0)
+select doc_id, md5(string_agg(txt, chr(10) order by pg, ix, label)) as text from u group by 1""")
+def tracker_text(spark, sf_dir):
+    """Labels behind the lines that they are anchored to; two labels of one line in the order of their texts."""
+    d, lines = table(spark, sf_dir, "documents"), doc_lines(spark, sf_dir)
+    at = [(F.col("doc_id") % 3).cast("int").alias("page_idx"), (F.col("doc_id") % 31).cast("int").alias("line")]
+    labels = d.select("doc_id", F.concat(F.lit("L"), F.col("doc_id") % 7).alias("label"), *at).unionByName(d.where("doc_id % 5 = 0").select("doc_id", F.lit("M").alias("label"), *at))
+    placed = E.located(lines, labels, ["doc_id"]).where("p_idx >= 0")
+    text = E.with_inserts(lines, placed, ["doc_id"], F.col("raw_text"))
+    return RS.joined_text(text, ["doc_id"], ["page_idx", "p_idx", "label"], "text").select("doc_id", F.md5("text").alias("text"))
+
+
+@query("""
+select label, n from (select 'first' || '' as part, l as label, n from (select cast(l_suppkey as varchar) l, count(*) n from lineitem group by 1) order by l limit 5)
+union all select label, n from (select cast(l_suppkey as varchar) as label, count(*) n from lineitem group by 1) where label in ('7', '9')""")
+def run_selection(spark, sf_dir):
+    plan = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("label")).agg(F.count("*").alias("n"))
+    return E.chosen(plan, first=5).unionByName(E.chosen(plan, labels=["7", "9"]))
+
+
+@query("select count(*) n, count(distinct c_mktsegment) agencies, count(distinct c_nationkey) codes, count(*) filter (c_acctbal < 0) negative from customer")
+def lookup_distinct_counts(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.agg(F.count("*").alias("n"), F.count_distinct("c_mktsegment").alias("agencies"), F.count_distinct("c_nationkey").alias("codes"), F.count_if(F.col("c_acctbal") < 0).alias("negative"))
+
+
 # ---------------------------------------------------------------- sources and sinks
 
 @query("""

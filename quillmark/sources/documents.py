@@ -17,7 +17,9 @@ PARAGRAPH = r"(?is)<p\b[^>]*>(.*?)</p>"
 def scan(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, html, file_name): one row for each file of a folder."""
     files = spark.read.text(path, wholetext=True)
-    return files.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("doc_id"), F.col("value").alias("html"), F.col("_metadata.file_name").alias("file_name"))
+    # names come as parts of an address; a plus sign is one there, not a space
+    files = files.select("value", F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file_name"))
+    return files.select(F.regexp_replace("file_name", r"\.[^.]*$", "").alias("doc_id"), F.col("value").alias("html"), "file_name")
 
 
 def first_page_of(file_name: Column) -> Column:
