@@ -171,6 +171,12 @@ class Pieces(dict):
         self[piece] = at = len(self.ends) - 2
         return at
 
+    def add_all(self, some: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+        first, start = len(self.ends) - 1, len(self.flat)
+        self.flat.frombytes(ids.astype(np.uint32).tobytes())
+        self.ends.frombytes((start + np.cumsum(counts)).astype(np.int64).tobytes())
+        self.update(zip(some, range(first, first + len(some)), strict=True))
+
     def __missing__(self, piece: bytes) -> int:
         return self.add(piece, self.encode(piece))
 
@@ -235,9 +241,13 @@ class Tokens:
             if (check[first][inverse] != check).any():  # two slices of one hash
                 first, inverse = np.arange(n), np.arange(n)
         found = [raw[a:b] for a, b in zip(self.offsets[first].tolist(), self.offsets[first + 1].tolist(), strict=True)]
-        if prepare:
-            prepare(pieces, found)
-        k = np.fromiter(map(pieces.__getitem__, found), np.int64, len(found))
+        known = list(map(pieces.get, found))
+        new = [i for i, x in enumerate(known) if x is None]
+        if prepare and new:
+            prepare(pieces, list(dict.fromkeys(found[i] for i in new)))
+        for i in new:
+            known[i] = pieces[found[i]]
+        k = np.array(known, np.int64)
         pieces.hit(k)
         ends, flat = np.array(pieces.ends), np.array(pieces.flat, dtype=np.uint32)
         k = k[inverse]

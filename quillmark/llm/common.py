@@ -55,6 +55,8 @@ def range_of(id_col: str, cuts: list[int]):
     """Number of the range that an id falls in; a null id counts as the smallest."""
     if not cuts:
         return F.lit(0)
+    if len(cuts) <= 64:  # compiled comparisons
+        return sum((F.when(F.col(id_col) >= c, 1).otherwise(0) for c in cuts[1:]), F.when(F.col(id_col) >= cuts[0], 1).otherwise(0)).cast("int")
     # width_bucket needs equal widths, so the cuts are searched: the first element above the id
     above = F.array_position(F.transform(F.array(*map(F.lit, cuts)), lambda c: F.coalesce(F.col(id_col) < c, F.lit(True))), F.lit(True))
     return F.when(above == 0, F.lit(len(cuts))).otherwise(above - 1).cast("int")

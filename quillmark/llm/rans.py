@@ -1,6 +1,6 @@
 """Operator 6: token ids as files of a static range asymmetric numeral system.
 
-One table of frequencies, counted over all documents and scaled to 2**20, serves all blocks. A block
+One table of frequencies, counted over all documents and scaled to 2**18, serves all blocks. A block
 holds whole documents in id order. Its ids are dealt to interleaved lanes, which are encoded backwards by
 64-bit states that give off 32-bit words; every 256 steps the states and the place in the words
 are kept as a checkpoint from which a decoder can start. A block's head:
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import discard, id_ranges, parts, range_of, scratch, staged
 
-SCALE, LANES, EVERY = 20, 1024, 256
+SCALE, LANES, EVERY = 18, 1024, 256
 #: Tokens of a block, but for a longer document, which is a block of its own.
 BLOCK = 1 << 19
 HEAD = struct.Struct("<4sHHQIIII")
@@ -41,6 +41,8 @@ LOW = np.uint64(1 << 31)
 def scaled(counts: np.ndarray, bits: int = SCALE) -> np.ndarray:
     """Frequencies that sum to 2**bits, at least 1 wherever a count isn't 0."""
     total, size = int(counts.sum()), 1 << bits
+    if np.count_nonzero(counts) > size // 2:
+        raise ValueError("too many different ids for the scale")
     if not total:
         return np.zeros(len(counts), np.uint32)
     f = np.where(counts > 0, np.maximum(1, (counts.astype(np.float64) * (size / total)).astype(np.int64)), 0)
@@ -59,7 +61,7 @@ class Table:
     def __init__(self, freq: np.ndarray):
         self.freq = freq.astype(np.uint64)
         self.start = np.concatenate([[0], np.cumsum(self.freq)[:-1]]).astype(np.uint64)
-        self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)
+        self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint16 if len(freq) <= 1 << 16 else np.uint32), freq)
 
 
 def encode_block(ids: np.ndarray, table: Table, lanes: int = LANES, every: int = EVERY) -> bytes:
@@ -129,19 +131,36 @@ def library(path: str):
     for token, k in t.get_vocab().items():
         size[k] = len(token)
 
-    def prepare(pieces: bpe.Pieces, found: list[bytes]) -> None:
-        unseen = [x for x in dict.fromkeys(found) if x not in pieces]
-        if not unseen:
-            return
-        # the slices are the library's own; handed over apart, they are encoded apart
-        ids = t.encode_batch_fast([[x.decode() for x in unseen]], is_pretokenized=True, add_special_tokens=False)[0].ids
-        ends = np.searchsorted(np.cumsum(size[ids]), np.cumsum([len(x) for x in unseen]), "right").tolist()
-        if ends[-1] != len(ids) or size[ids].sum() != sum(map(len, unseen)):
-            raise ValueError("token ids don't cover the slices")
-        a = 0
-        for piece, z in zip(unseen, ends, strict=True):
-            pieces.add(piece, ids[a:z])
-            a = z
+    def encoded(words: list[str], ends: np.ndarray, between: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of the words, and how many each has; None if a token spans two. Without ``between`` the words are handed over apart."""
+        whole = [words] if between is None else [between.join(words) + between]
+        ids = np.array(t.encode_batch_fast(whole, is_pretokenized=between is None, add_special_tokens=False)[0].ids, np.uint32)
+        upto = np.cumsum(size[ids])
+        at = np.searchsorted(upto, ends)
+        if at[-1] >= len(upto) or (upto[at] != ends).any() or upto[-1] != ends[-1]:
+            return None
+        counts = np.diff(at, prepend=-1)
+        if between:  # its token ends each word
+            counts, ids = counts - 1, np.delete(ids, at)
+        return ids, counts
+
+    def prepare(pieces: bpe.Pieces, unseen: list[bytes]) -> None:
+        # Texts of slices that the library cuts where they meet: words with the space before them, and words on lines
+        # of their own. White space goes to it in separate parts.
+        kinds: tuple[list, list, list] = ([], [], [])
+        for x in unseen:
+            word = x.decode()
+            kinds[0 if word[0] == " " and len(word) > 1 and not word[1].isspace() else 2 if word[0].isspace() else 1].append((x, word))
+        for some, between in zip(kinds, ("", "\n", None), strict=True):
+            if not some:
+                continue
+            raw, words = map(list, zip(*some, strict=True))
+            ends = np.cumsum([len(x) for x in raw])
+            got = encoded(words, ends + np.arange(1, len(raw) + 1) * bool(between), between)
+            got = got or encoded(words, ends, None)
+            if got is None:
+                raise ValueError("token ids don't cover the slices")
+            pieces.add_all(raw, *got)
 
     return bpe.Pieces(None), prepare
 
