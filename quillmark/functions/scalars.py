@@ -58,12 +58,17 @@ def carried(amount: Column, dollar: bool = True) -> Column:
 
 
 def letters(k: Column) -> Column:
-    """0 is A, 25 is Z, 26 is AA, 702 is AAA."""
-    one = lambda x: F.char(F.lit(65).cast("int") + x.cast("int"))
-    first, second = k - 26, k - 702
-    two = F.concat(one(F.floor(first / 26)), one(first % 26))
-    three = F.concat(one(F.floor(second / 676)), one(F.floor(second / 26) % 26), one(second % 26))
-    return F.when(k < 26, one(k % 26)).when(k < 702, two).otherwise(three)
+    """0 is A, 25 is Z, 26 is AA, 702 is AAA, 18,278 is AAAA, and so on for any bigint."""
+    k = k.cast("bigint")
+    above, out = 0, []
+    for n in range(1, 15):  # 14 letters hold every bigint
+        place = k - above
+        out.append((above + 26**n, F.concat(*[F.char(F.lit(65) + F.call_function("div", place, F.lit(26**p).cast("bigint")) % 26) for p in range(n - 1, -1, -1)])))
+        above += 26**n
+    text = out[-1][1]
+    for end, one in reversed(out[:-1]):
+        text = F.when(k < end, one).otherwise(text)
+    return text
 
 
 def numbered(number: Column, body: Column) -> Column:

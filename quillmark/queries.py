@@ -154,12 +154,12 @@ o as (select rec_idx, case when has_id then coalesce(b1,b2,b3,b4) else coalesce(
 """
 
 
-def balances(spark, sf_dir):
+def balances(spark, sf_dir, of: str = "o_orderkey % 7 = 0", among: str = "o_orderkey % 7 = 1 and o_orderkey % 4 < 3"):
     o = table(spark, sf_dir, "orders")
     base = [F.col("o_orderpriority").alias("agency"), F.when(F.col("o_orderkey") % 6 == 0, "").otherwise((F.col("o_custkey") % 97).cast("string")).alias("approp_id"), F.year("o_orderdate").alias("chapter_year"), F.floor(F.col("o_totalprice") / 1000).cast("bigint").alias("approp_amount"), (F.col("o_orderkey") % 3).alias("reapprop_amount")]
-    rows = o.where("o_orderkey % 7 = 0").select(F.col("o_orderkey").alias("rec_idx"), F.lit("dropped").alias("status"), *base)
+    rows = o.where(of).select(F.col("o_orderkey").alias("rec_idx"), F.lit("dropped").alias("status"), *base)
     balance = F.when(F.col("o_orderkey") % 10 == 1, None).otherwise(F.floor(F.col("o_totalprice") / 50)).cast("double").alias("balance")
-    return rows, o.where("o_orderkey % 7 = 1 and o_orderkey % 4 < 3").select(F.col("o_orderkey").alias("row_idx"), *base, balance)
+    return rows, o.where(among).select(F.col("o_orderkey").alias("row_idx"), *base, balance)
 
 
 @query(LOOKUP + """
@@ -175,7 +175,24 @@ def lookup_summary(spark, sf_dir):
     return L.balance_summary(L.attach_balance(*balances(spark, sf_dir)))
 
 
-@query("""
+#: The same over all orders on both sides.
+LOOKUP_ALL = LOOKUP.replace(" where o_orderkey % 7 = 0)", ")").replace(" where o_orderkey % 7 = 1 and o_orderkey % 4 < 3)", ")")
+
+
+@query(LOOKUP_ALL + """
+select rec_idx, cast(balance as double) balance, method, case when balance > 0 then cast(ceil(balance/1000)*1000 as bigint) else 0 end rounded, coalesce(balance >= 1000, false) insert_eligible from o""")
+def lookup_cascade_all(spark, sf_dir):
+    return L.attach_balance(*balances(spark, sf_dir, "true", "true")).select("rec_idx", "balance", "method", "rounded", "insert_eligible")
+
+
+@query(LOOKUP_ALL + """
+select count(*) n, count(balance) matched, count(*) - count(balance) unmatched, count(*) filter (balance = 0) zero, count(*) filter (balance > 0 and balance < 1000) small,
+count(*) filter (balance >= 1000) eligible, cast(coalesce(sum(ceil(balance/1000)*1000) filter (balance >= 1000),0) as bigint) rounded_total from o""")
+def lookup_summary_all(spark, sf_dir):
+    return L.balance_summary(L.attach_balance(*balances(spark, sf_dir, "true", "true")))
+
+
+LEARNED = """
 with k as (select c_mktsegment agency, o_orderkey id, cast(year(o_orderdate) as int) y, cast(round(o_totalprice) as bigint) a from orders join customer on o_custkey=c_custkey),
 c as (select cast(c_nationkey % 7 as varchar) code, o_orderkey id, cast(year(o_orderdate) as int) y, cast(round(o_totalprice) as bigint) a from orders join customer on o_custkey=c_custkey where o_orderkey % 2 = 0),
 v as (select agency, code, count(*) n, count(*) filter (a >= 400000) big from k join c using (id, y, a) group by 1,2),
@@ -185,13 +202,25 @@ r as (select *, row_number() over (partition by agency order by v desc, code) rn
 b as (select code, max(agency) agency from r where rn=1 and bb group by code),
 s as (select code, min(agency) agency from r where rn=1 and not bb and code not in (select code from b) group by code),
 m as (select * from b union all select * from s)
-select cast(c_nationkey % 7 as varchar) code, coalesce(m.agency, '') agency, count(*) n from customer left join m on cast(c_nationkey % 7 as varchar) = m.code group by 1,2""")
+select cast(c_nationkey % 7 as varchar) code, coalesce(m.agency, '') agency, count(*) n from customer left join m on cast(c_nationkey % 7 as varchar) = m.code group by 1,2"""
+
+
+@query(LEARNED)
 def learned_mapping(spark, sf_dir):
+    return mapping_of(spark, sf_dir, "o_orderkey % 2 = 0")
+
+
+@query(LEARNED.replace(" where o_orderkey % 2 = 0)", ")"))
+def learned_mapping_all(spark, sf_dir):
+    return mapping_of(spark, sf_dir, "true")
+
+
+def mapping_of(spark, sf_dir, voting: str):
     cust = table(spark, sf_dir, "customer")
     j = table(spark, sf_dir, "orders").join(cust, F.col("o_custkey") == F.col("c_custkey"))
     on = [F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("y"), F.round("o_totalprice").cast("bigint").alias("a")]
     code = (F.col("c_nationkey") % 7).cast("string").alias("code")
-    m = L.learned_mapping(j.where("o_orderkey % 2 = 0").select(code, *on), j.select(F.col("c_mktsegment").alias("agency"), *on), ["id", "y", "a"], "code", "agency", "a", large=400_000)
+    m = L.learned_mapping(j.where(voting).select(code, *on), j.select(F.col("c_mktsegment").alias("agency"), *on), ["id", "y", "a"], "code", "agency", "a", large=400_000)
     return L.apply_mapping(cust.select(code), m, "code", "agency").groupBy("code", "agency").agg(F.count("*").alias("n"))
 
 
@@ -368,6 +397,17 @@ def page_labels(spark, sf_dir):
     return S.page_labels(l, ["page"], F.col("page"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "label")
 
 
+LETTERS = " ".join(f"when k < {sum(26**i for i in range(1, n + 1))} then " + " || ".join(f"chr(cast(65 + (k - {sum(26**i for i in range(1, n))}) // {26**p} % 26 as int))" for p in range(n - 1, -1, -1)) for n in range(1, 8))
+
+
+@query(f"""
+with l as (select l_orderkey % 50 page, l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() over (partition by l_orderkey % 50 order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 k from lineitem)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, page || case {LETTERS} end as label from l""")
+def page_labels_all(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").withColumn("page", F.col("l_orderkey") % 50)
+    return S.page_labels(l, ["page"], F.col("page"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "label")
+
+
 # ---------------------------------------------------------------- placement
 
 @query("""
@@ -627,6 +667,12 @@ def plan_without_lines(spark, sf_dir):
     return Q.without_lines(plan, table(spark, sf_dir, "documents").where("n_chars > 1000"), ["doc_id"])
 
 
+@query("""select doc_id, ['no-html'] tags from labels where doc_id not in (select doc_id from documents where n_chars > 1000)""")
+def plan_without_lines_all(spark, sf_dir):
+    plan = table(spark, sf_dir, "labels").select("doc_id")
+    return Q.without_lines(plan, table(spark, sf_dir, "documents").where("n_chars > 1000"), ["doc_id"])
+
+
 @query("""
 select * from (values ('amount is positive', (select count(*) from orders where not o_totalprice > 0)), ('has lines', (select count(*) from orders where o_orderkey not in (select l_orderkey from lineitem))),
 ('status is known', (select count(*) from orders where o_orderstatus not in ('F','O'))), ('quality is 0 or 1', (select count(*) from labels where quality not in (0,1)))) t("rule", violations)""")
