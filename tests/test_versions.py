@@ -89,6 +89,32 @@ def test_texts_choose_in_order_and_below_the_threshold_stay_unmatched(spark):
     assert sum(r["match_method"] == "no_id_unmatched" for r in told) == len(p) - len(want)
 
 
+def test_near_copies_of_one_key_beyond_any_number_of_pairs(spark):
+    # 330 by 330 like texts: more pairs than one array was allowed to hold; the walk is the same
+    words = [f"w{k:02}" for k in range(5)]
+
+    def rows(first, seed):
+        rng = random.Random(seed)
+        out = []
+        for k in range(330):
+            w = list(words)
+            w[rng.randrange(5)] = f"n{rng.randrange(40):02}"
+            out.append((first + k, "x", " ".join(w)))
+        return out
+
+    p, c = rows(0, 1), rows(1000, 2)
+    used, want = set(), set()
+    ratio = {(x, y): difflib.SequenceMatcher(None, x[:PREFIX], y[:PREFIX]).ratio() for x in {r[2] for r in p} for y in {r[2] for r in c}}
+    assert sum(ratio[x[2], y[2]] >= 0.4 for x in p for y in c) > 100_000
+    for i, _, x in p:
+        _, j = min((-ratio[x, y], j) for j, _, y in c if j not in used)
+        used.add(j)
+        want.add((i, j))
+    schema = "rec_idx long, fund string, bill_language string"
+    got = R.match_by_text(spark.createDataFrame(p, schema), spark.createDataFrame(c, schema), ["fund"]).collect()
+    assert {(r["prior_idx"], r["current_idx"]) for r in got} == want
+
+
 def test_cascade_levels_and_a_null_first_row(spark):
     row = "doc_id string, status string, agency string, approp_id string, chapter_year int, approp_amount long, reapprop_amount long"
     rows = spark.createDataFrame([("a", "dropped", "X", "1", 2020, 5, 1), ("b", "dropped", "X", "1", 2020, 6, 1), ("c", "dropped", "X", "1", 2021, 7, 1), ("d", "dropped", "X", "1", 2022, 8, 1), ("e", "dropped", "X", "", 2020, 5, 1), ("f", "dropped", "X", None, 2020, 9, 1), ("g", "dropped", None, "1", 2020, 5, 1), ("h", "continued", "X", "1", 2020, 5, 1)], row)
