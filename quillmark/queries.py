@@ -88,11 +88,24 @@ c as (select o, n, i, a + case when pk % 5 = 0 then 100 else 0 end a from l wher
 """
 
 
+#: More than the rows of one (l_orderkey, l_linenumber) can be, as row numbers are ints.
+WIDE = 10**10
+
+
+def shown_lines(compared: DataFrame) -> DataFrame:
+    """Numbers as the SQL has them, which tell rows apart up to 9,999 of a key."""
+    shown = lambda c: F.when(F.col(c) < 0, -1).otherwise(F.col("o") * 1_000_000 + F.col("n") * 10_000 + (F.col(c) % WIDE).cast("bigint")).cast("bigint").alias(c)
+    return compared.select(shown("prior_idx"), shown("current_idx"), "status")
+
+
 def line_versions(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem")
     order = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
     l = S.positions(l, ["l_orderkey", "l_linenumber"], order, "i")
-    idx = (F.col("l_orderkey") * 1_000_000 + F.col("l_linenumber") * 10_000 + F.col("i")).alias("rec_idx")
+    # digits of their own for each part, so that no two rows have one number
+    step = F.lit(WIDE).cast("decimal(11,0)")
+    of_key = (F.col("l_orderkey").cast("decimal(18,0)") * step).cast("decimal(28,0)") + F.col("l_linenumber")
+    idx = (of_key.cast("decimal(28,0)") * step + F.col("i")).cast("decimal(38,0)").alias("rec_idx")
     p = l.select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), "i", idx, cents("l_extendedprice").alias("a"), "l_partkey")
     c = p.where("l_partkey % 7 <> 0").withColumn("a", F.col("a") + F.when(F.col("l_partkey") % 5 == 0, 100).otherwise(0))
     return p.drop("l_partkey"), c.drop("l_partkey")
@@ -109,13 +122,13 @@ union all select o*1000000+n*10000+i, -1, 'dropped' from p where not exists (sel
 union all select -1, o*1000000+n*10000+i, 'new' from c where not exists (select 1 from m where m.o=c.o and m.n=c.n and m.ci=c.i)""")
 def reconcile_one_to_one(spark, sf_dir):
     p, c = line_versions(spark, sf_dir)
-    return R.compare_versions(p, c, ["o", "n"], amount="a").select("prior_idx", "current_idx", "status")
+    return shown_lines(R.compare_versions(p, c, ["o", "n"], amount="a"))
 
 
 @query()
 def reconcile_greedy(spark, sf_dir):
     p, c = line_versions(spark, sf_dir)
-    return R.compare_versions(p, c, ["o", "n"], amount="a", mode="greedy").select("prior_idx", "current_idx", "status")
+    return shown_lines(R.compare_versions(p, c, ["o", "n"], amount="a", mode="greedy"))
 
 
 @query()

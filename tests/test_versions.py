@@ -5,7 +5,9 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from quillmark import queries as Q
 from quillmark.functions.scalars import PREFIX
 from quillmark.operators import lookups as L
 from quillmark.operators import reconcile as R
@@ -57,6 +59,25 @@ def test_too_many_rows_of_a_key_are_an_error(spark):
         R.match_greedy(*frames(spark, p, c), ["key"], most=60).collect()
 
 
+def test_greedy_folds_a_key_of_any_size(spark, monkeypatch):
+    rng = random.Random(8)
+    p = [(k, "hot" if k % 3 else f"k{k % 7}", rng.randrange(900)) for k in range(9000)]
+    c = [(10_000 + k, "hot" if k % 3 else f"k{k % 7}", rng.randrange(900)) for k in range(8500)]
+    want = greedy(p, c)
+    assert {tuple(r) for r in R.match_greedy(*frames(spark, p, c), ["key"]).collect()} == want
+    monkeypatch.setattr(R._Spilled, "IN_MEMORY", 1000)  # places in files
+    fold = R.match_greedy(*frames(spark, p, c), ["key"])
+    assert {tuple(r) for r in fold.collect()} == want
+
+
+def test_lines_of_a_large_key_have_numbers_of_their_own(spark, monkeypatch):
+    line = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(1)
+    same = line.crossJoin(spark.range(20_500)).withColumn("l_orderkey", F.lit(1).cast("bigint")).withColumn("l_linenumber", F.when(F.col("id") < 20_000, 1).otherwise(2)).drop("id")
+    monkeypatch.setattr(Q, "table", lambda *_: same)
+    for rows in Q.line_versions(spark, "")[:1]:
+        assert rows.select("rec_idx").distinct().count() == 20_500
+
+
 def test_null_keys_match_each_other(spark):
     p, c = frames(spark, [(1, None, 5)], [(2, None, 6)])
     got = R.compare_versions(p, c, ["key"]).collect()
