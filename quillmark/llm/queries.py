@@ -48,7 +48,7 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = scratch(spark)
-    rans.write(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), at)
+    rans.write(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), at, added=True)
     return rans.digests(spark, at)
 
 

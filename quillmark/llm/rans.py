@@ -19,7 +19,9 @@ ordered by their token ids; an empty table gives empty files; other columns aren
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import struct
 import zlib
 
@@ -165,15 +167,43 @@ def library(path: str):
     return bpe.Pieces(None), prepare
 
 
-def tokenised(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+@functools.lru_cache(2)
+def added_tokens(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
+    """Pattern of the added tokens of a tokenizer file, the longest first, and their ids."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f).get("added_tokens") or []
+    if any(x.get(k) for x in found for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that take in white space or whole words only aren't known here")
+    ids = {x["content"]: x["id"] for x in found}
+    return (re.compile("|".join(re.escape(x) for x in sorted(ids, key=len, reverse=True))) if ids else None), ids
+
+
+def tokenised(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str, added: bool = False) -> DataFrame:
     """(id, n, ids): the token ids with the end id, as unsigned 16-bit or else 32-bit numbers."""
 
+    def split(texts: list[str], pattern: re.Pattern | None) -> tuple[list[str], list[tuple[int, list[str]]]]:
+        """Texts with those that hold added tokens cut at them, and for each text the number of its parts and its tokens."""
+        parts, shape = [], []
+        for x in texts:
+            tokens = pattern.findall(x) if pattern else []
+            parts += pattern.split(x) if tokens else [x]
+            shape.append((len(tokens) + 1, tokens))
+        return parts, shape
+
     def run(batches):
         pieces, prepare = library(path)
+        pattern, special = added_tokens(path) if added else (None, {})
         for b in batches:
             for a, z, texts in bpe.chunks(b.column(1).to_pylist()):
-                t = bpe.Tokens(texts, pieces, prepare)
-                out = [np.append(t.ids[i:j], np.uint32(end_id)).astype("<u4") for i, j in zip(t.bounds[:-1], t.bounds[1:], strict=True)]
+                cut, shape = split(texts, pattern)
+                t = bpe.Tokens(cut, pieces, prepare)
+                out, k = [], 0
+                for n, tokens in shape:
+                    some = [t.ids[t.bounds[k] : t.bounds[k + 1]]]
+                    for at, token in enumerate(tokens, k + 1):
+                        some += [[special[token]], t.ids[t.bounds[at] : t.bounds[at + 1]]]
+                    out.append(np.concatenate([*some, [end_id]]).astype("<u4"))
+                    k += n
                 data = [(b"\2" + x.astype("<u2").tobytes()) if x.max() < 65536 else (b"\4" + x.tobytes()) for x in out]
                 yield pa.record_batch([b.column(0)[a:z], pa.array([len(x) for x in out], pa.int64()), pa.array(data, pa.binary())], ["id", "n", "ids"])
 
@@ -204,11 +234,14 @@ def counts_of(tokens: DataFrame) -> np.ndarray:
     return out
 
 
-def write(docs: DataFrame, path: str, to: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode every whole text with the tokenizer file ``path`` and write blocks and frequencies under ``to``."""
+def write(docs: DataFrame, path: str, to: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> None:
+    """Encode every whole text with the tokenizer file ``path`` and write blocks and frequencies under ``to``.
+
+    With ``added``, added tokens in the texts get their ids, as the library does as loaded; else they are text like any other.
+    """
     spark = docs.sparkSession
     at = scratch(spark)
-    tokens = staged(tokenised(docs, path, end_id, id_col, text_col), f"{at}/tokens", compression="zstd")
+    tokens = staged(tokenised(docs, path, end_id, id_col, text_col, added), f"{at}/tokens", compression="zstd")
     freq = scaled(counts_of(tokens))
     cuts = id_ranges(tokens, "id", parts(spark))
     tokens = tokens.withColumn("file", range_of("id", cuts))

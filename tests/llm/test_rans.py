@@ -78,3 +78,19 @@ def test_odd_rows(spark):
     at = scratch(spark)
     rans.write(twice, PATH, at)
     assert sorted(r["start"] for r in rans.digests(spark, at).collect()) == [0, 2, 5]
+
+
+def test_added_tokens_as_the_library_has_them(spark, monkeypatch):
+    from quillmark.llm import queries
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(PATH)
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>don't"), (3, "x <|endoftext|"), (4, "\n \n<|endoftext|>  y "), (5, None)]
+    want, start = {}, 0
+    for i, text in rows:
+        ids = [*t.encode(text or "", add_special_tokens=False).ids, 2]
+        want[i] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(queries, "table", lambda *_: df)
+    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in queries.op6_rans(spark, "").collect()} == want
