@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -23,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template head title svg math iframe object select option datalist canvas audio video textarea".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
+SILENT = frozenset("script style noscript template head title svg iframe object select option datalist canvas audio video textarea annotation annotation-xml".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mfenced mover munder munderover mstyle semantics".split())
 #: A start tag of these ends an open paragraph.
 ENDS_P = frozenset("address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: Start tags that leave the head open, and those that end an unclosed silent element besides ENDS_P.
+OF_HEAD = frozenset("html head title meta link base basefont bgsound style script noscript template".split())
+ENDS_SILENT = ENDS_P | frozenset("body li dt dd td th tr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CHROME = frozenset("nav footer aside form button menu dialog".split())
 NAMED_BAD = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|nav\w*|menu|breadcrumbs?|pagination|pager|sidebar|side|rail|widget|footer|foot|masthead|topbar|toolbar|comments?|disqus|replies|respond|reviews?|share|sharing|social|related|recommended|trending|newsletter|subscribe|signup|login|search|form|skip|copyright|legal|disclaimer|tags?)(?=$|[\s_-])", re.I)
@@ -49,8 +52,11 @@ class Block:
 
 
 class _Parser(HTMLParser):
-    def __init__(self):
+    def __init__(self, page: str = ""):
         super().__init__(convert_charrefs=True)
+        #: End tags of silent elements that are still to come; an element that opens after the last one isn't closed.
+        self.ends = Counter(t for t in re.findall(r"</([a-z-]+)", page.lower()) if t in SILENT)
+        self.unclosed: set[int] = set()
         self.open: list[tuple[str, int, str]] = []
         self.blocks: list[Block] = []
         self.buffer: list[str] = []
@@ -80,7 +86,25 @@ class _Parser(HTMLParser):
             if self.open[k][0] in until:
                 return
 
+    def set_cdata_mode(self, elem, **more):
+        if elem in ("script", "style") or self.ends[elem] > 0:  # others that nothing closes would take in the rest of the page
+            super().set_cdata_mode(elem, **more)
+
+    def end_head(self):
+        for k, (tag, _, _) in enumerate(self.open):
+            if tag == "head":
+                if not any(t in ("noscript", "template") for t, _, _ in self.open[k:]):
+                    self.pop(k)
+                return
+
     def handle_starttag(self, tag, attrs):
+        if self.silent:
+            if tag in ENDS_SILENT or tag == "meta" or tag == "link":
+                at = next((k for k, e in enumerate(self.open) if e[1] in self.unclosed), None)
+                if at is not None:
+                    self.pop(at)
+            if tag not in OF_HEAD:
+                self.end_head()
         if tag not in INLINE:
             self.flush()
         elif tag == "br":
@@ -106,6 +130,8 @@ class _Parser(HTMLParser):
         self.open.append((tag, self.made, named))
         self.silent += tag in SILENT
         self.links += tag == "a"
+        if tag in SILENT and tag != "head" and self.ends[tag] <= 0:
+            self.unclosed.add(self.made)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -113,6 +139,7 @@ class _Parser(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        self.ends[tag] -= 1
         if tag not in INLINE:
             self.flush()
         for k in range(len(self.open) - 1, -1, -1):
@@ -123,6 +150,8 @@ class _Parser(HTMLParser):
             return
 
     def handle_data(self, data):
+        if self.silent and self.open[-1][0] == "head" and data.strip():
+            self.end_head()
         if self.silent:
             return
         if not self.buffer:
@@ -135,7 +164,7 @@ class _Parser(HTMLParser):
 
 
 def blocks_of(page: str) -> list[Block]:
-    p = _Parser()
+    p = _Parser(page)
     p.feed(page)
     p.close()
     p.flush()

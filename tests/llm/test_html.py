@@ -73,3 +73,19 @@ def test_odd_rows(spark):
     assert [r["text"] for r in got[1:5]] == ["", "", "", ""]
     assert got[0]["text"].startswith("plain text") and got[5]["text"].count("\n") == 19_999 and got[7]["text"] == "cut off &am" and got[8]["text"] == ""
     assert html.extract(df.where("false")).count() == 0
+
+
+def test_head_without_end_and_unclosed_silent_elements():
+    text = "A sentence of a paragraph that goes on for a while, as they do."
+    body = f"<article><p>{text}</p><p>{text}</p></article>"
+    want = f"{text}\n{text}"
+    for page in (
+        f"<html><head><title>x</title>{body}", f"<html><head><meta charset=utf-8><title>x</title><script>var a</script><link href=a>{body}", f"<html><head><title>x{body}", f"<head><title>x</title></head><body><select><option>one<option>two{body}",
+        f"<body><object data=a>{body}", f"<body><iframe src=a>{body}", f"<head><noscript><img src=a></noscript><title>x</title></head><body>{body}", f"<body><object><p>Words of a closed one, which stay silent as before.</p></object>{body}",
+    ):
+        assert html.main_text(page) == want, page
+
+
+def test_formulas_stay_in_their_sentence():
+    page = "<article><p>The sum of both is <math><mi>a</mi><mo>+</mo><mi>b</mi></math>, as we have seen in the text above.</p></article>"
+    assert html.main_text(page) == "The sum of both is a+b, as we have seen in the text above."
