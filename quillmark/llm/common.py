@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +43,21 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bytes of text that a task unpacks at once.
+AT_ONCE = 1 << 22
+
+
+def bounded(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Batches whose column ``text`` holds about ``AT_ONCE`` bytes; a longer value stands alone."""
+    for b in batches:
+        upto = np.cumsum(np.nan_to_num(pc.binary_length(b.column(text)).to_numpy(zero_copy_only=False).astype(float)))
+        a = 0
+        while a < len(upto):
+            z = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + AT_ONCE, "right")))
+            yield b.slice(a, z - a)
+            a = z
+
+
 def id_ranges(df: DataFrame, id_col: str, n: int) -> list[int]:
     """At most ``n`` - 1 ascending values that cut the ids into ranges of about equal row counts.
 

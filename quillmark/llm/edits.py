@@ -113,8 +113,7 @@ class TokenTree:
                 counts[-right:] = old_counts[-right:]
             for k in np.flatnonzero(counts < 0).tolist():
                 piece = changed[cut[k] : cut[k + 1]].encode()
-                k2 = self.pieces[piece]
-                counts[k] = self.pieces.ends[k2 + 1] - self.pieces.ends[k2]
+                counts[k] = self.pieces.count(piece)
                 self.encoded += 1
         self.put(first, last, changed, lengths, counts)
 

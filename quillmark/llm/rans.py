@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import discard, id_ranges, parts, range_of, scratch, staged
+from .common import bounded, discard, id_ranges, parts, range_of, scratch, staged
 
 SCALE, LANES, EVERY = 18, 1024, 256
 #: Tokens of a block, but for a longer document, which is a block of its own.
@@ -146,25 +146,31 @@ def library(path: str):
             counts, ids = counts - 1, np.delete(ids, at)
         return ids, counts
 
-    def prepare(pieces: bpe.Pieces, unseen: list[bytes]) -> None:
+    def encode(unseen: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         # Texts of slices that the library cuts where they meet: words with the space before them, and words on lines
         # of their own. White space goes to it in separate parts.
         kinds: tuple[list, list, list] = ([], [], [])
-        for x in unseen:
+        for k, x in enumerate(unseen):
             word = x.decode()
-            kinds[0 if word[0] == " " and len(word) > 1 and not word[1].isspace() else 2 if word[0].isspace() else 1].append((x, word))
+            kinds[0 if word[0] == " " and len(word) > 1 and not word[1].isspace() else 2 if word[0].isspace() else 1].append((k, word))
+        every, counts, place = [], np.zeros(len(unseen), np.int64), []
         for some, between in zip(kinds, ("", "\n", None), strict=True):
             if not some:
                 continue
-            raw, words = map(list, zip(*some, strict=True))
-            ends = np.cumsum([len(x) for x in raw])
-            got = encoded(words, ends + np.arange(1, len(raw) + 1) * bool(between), between)
+            at, words = map(list, zip(*some, strict=True))
+            ends = np.cumsum([len(unseen[k]) for k in at])
+            got = encoded(words, ends + np.arange(1, len(at) + 1) * bool(between), between)
             got = got or encoded(words, ends, None)
             if got is None:
                 raise ValueError("token ids don't cover the slices")
-            pieces.add_all(raw, *got)
+            every.append(got[0])
+            counts[at] = got[1]
+            place += at
+        start = np.empty(len(unseen), np.int64)
+        start[place] = np.cumsum(counts[place]) - counts[place]
+        return np.concatenate(every)[bpe.spread(start, counts)], counts
 
-    return bpe.Pieces(None), prepare
+    return bpe.Pieces(encode)
 
 
 @functools.lru_cache(2)
@@ -181,31 +187,30 @@ def added_tokens(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
 def tokenised(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str, added: bool = False) -> DataFrame:
     """(id, n, ids): the token ids with the end id, as unsigned 16-bit or else 32-bit numbers."""
 
-    def split(texts: list[str], pattern: re.Pattern | None) -> tuple[list[str], list[tuple[int, list[str]]]]:
-        """Texts with those that hold added tokens cut at them, and for each text the number of its parts and its tokens."""
+    def split(texts: list[str], pattern: re.Pattern | None) -> tuple[list[str], list[list[str]]]:
+        """Texts with those that hold added tokens cut at them, and each text's tokens."""
         parts, shape = [], []
         for x in texts:
             tokens = pattern.findall(x) if pattern else []
             parts += pattern.split(x) if tokens else [x]
-            shape.append((len(tokens) + 1, tokens))
+            shape.append(tokens)
         return parts, shape
 
     def run(batches):
-        pieces, prepare = library(path)
+        pieces = library(path)
         pattern, special = added_tokens(path) if added else (None, {})
-        for b in batches:
-            for a, z, texts in bpe.chunks(b.column(1).to_pylist()):
-                cut, shape = split(texts, pattern)
-                t = bpe.Tokens(cut, pieces, prepare)
-                out, k = [], 0
-                for n, tokens in shape:
-                    some = [t.ids[t.bounds[k] : t.bounds[k + 1]]]
-                    for at, token in enumerate(tokens, k + 1):
-                        some += [[special[token]], t.ids[t.bounds[at] : t.bounds[at + 1]]]
-                    out.append(np.concatenate([*some, [end_id]]).astype("<u4"))
-                    k += n
-                data = [(b"\2" + x.astype("<u2").tobytes()) if x.max() < 65536 else (b"\4" + x.tobytes()) for x in out]
-                yield pa.record_batch([b.column(0)[a:z], pa.array([len(x) for x in out], pa.int64()), pa.array(data, pa.binary())], ["id", "n", "ids"])
+        for b in bounded(batches, 1):
+            cut, shape = split([x or "" for x in b.column(1).to_pylist()], pattern)
+            each = (ids[i:j] for _, _, ids, bounds in bpe.encoded(cut, pieces) for i, j in zip(bounds[:-1], bounds[1:], strict=True))
+            data, size = [], []
+            for tokens in shape:
+                some = [next(each)]
+                for token in tokens:
+                    some += [[special[token]], next(each)]
+                x = np.concatenate([*some, [end_id]]).astype("<u4")
+                size.append(len(x))
+                data.append((b"\2" + x.astype("<u2").tobytes()) if x.max() < 65536 else (b"\4" + x.tobytes()))
+            yield pa.record_batch([b.column(0), pa.array(size, pa.int64()), pa.array(data, pa.binary())], ["id", "n", "ids"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, n long, ids binary")
 

@@ -47,3 +47,37 @@ def test_decode_gives_the_text_back(spark):
 
 def test_empty_table(spark):
     assert bpe.round_trip(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_windows_and_a_cache_that_forgets_change_nothing(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNK", 64)
+    monkeypatch.setattr(bpe, "CACHE", 40)
+    monkeypatch.setattr(bpe, "CACHED_IDS", 100)
+    rng = random.Random(3)
+    words = ["It's", "  ", "don't", "\n\n", " ", "x", "1234", "señor", "中文", "'ll", "!?", "\t", "word"]
+    texts = ["".join(rng.choices(words, k=rng.randrange(200))) for _ in range(60)] + ["no" * 200, " " * 300, None]
+    pieces = bpe.Pieces(bpe.codec(PATH)[0].encode)
+    vocabulary = bpe.codec(PATH)[1]
+    seen = 0
+    for a, z, ids, bounds in bpe.encoded(texts, pieces):
+        for k in range(a, z):
+            own = ids[bounds[k - a] : bounds[k - a + 1]]
+            assert own.tolist() == reference.encode_ordinary(texts[k] or "")
+            ends = vocabulary.ends(own)
+            assert vocabulary.decoded(own, ends).tobytes().decode() == (texts[k] or "")
+            assert [vocabulary.decoded(own[:j]).tobytes() for j in range(len(own) + 1)][1:] == [(texts[k] or "").encode()[:e] for e in ends]
+            seen += 1
+    assert seen == len(texts)
+    assert pieces.ends.n < 400
+
+
+def test_merging_side_by_side_equals_merging_alone():
+    rng = random.Random(11)
+    merges = bpe.Merges(bpe.ranks_of(PATH))
+    some = ["".join(rng.choices("abcdeinrst é中1", k=rng.randrange(1, 90))).encode() for _ in range(500)] + [b"a" * 64, b"a" * 65, b"zz"]
+    ids, counts = merges.all(some)
+    at = 0
+    for piece, n in zip(some, counts.tolist(), strict=True):
+        assert ids[at : at + n].tolist() == merges(piece)
+        at += n
+    assert at == len(ids)
