@@ -5,7 +5,10 @@ ranges) and put through a keyed Feistel network over the characters or numbers o
 each round shifts one half by a keyed hash of the other half, every character within its alphabet.
 This is a permutation of the format, so equal values have equal pseudonyms in all documents and
 different values of a format stay different. Card numbers get a new check digit, octets stay octets,
-days stay days of 1800 to 2199, credentials keep their alphabet, e-mail addresses their domain.
+days stay days of 1800 to 2199, credentials keep their alphabet, e-mail addresses their domain, phones and accounts their country.
+
+Letters that have no alphabet here move within the 128 code points around them. What leaves its format (a number range that
+isn't given out, a day that reads in the other order) is permuted again until it is back in it.
 
 Defined results: null stays null, and a text without valid candidates stays as it is; candidates that
 fail validation stay; repeated rows are treated alike; all other columns pass through.
@@ -18,20 +21,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Stands in where a caller gives no key; production runs pass their own.
-KEY = "set-your-own-key"
 ROUNDS = 8
+#: Most times that a value is permuted again; a chance below 1e-9 for a value is left out of its format then.
+WALK = 24
 LOW, HIGH, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
-LATIN = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+LATIN, LATIN_HIGH = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
+#: First code points and sizes of stretches of letters: Greek, Cyrillic, Hebrew, kana, ideographs, Hangul.
+STRETCHES = ((0x3B1, 25), (0x410, 32), (0x430, 32), (0x5D0, 27), (0x3041, 86), (0x30A1, 90), (0x4E00, 20992), (0xAC00, 11172))
+NAMES = "password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key"
+#: Heads of credentials that are told by them.
+HEADS = "(?:AKIA|ASIA)(?=[A-Z0-9]{16}(?![A-Za-z0-9]))|gh[pousr]_(?=[A-Za-z0-9]{20})|glpat-(?=[A-Za-z0-9_-]{16})|xox[abprs]-(?=[A-Za-z0-9-]{10})|[sp]k[_-](?:live[_-]|test[_-])?(?=[A-Za-z0-9]{16})"
 
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 CARD = r"(?<![\p{L}\p{N}_])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[0-9]{3}([ -])[0-9]{6}\2[0-9]{5})(?![\p{L}\p{N}_])"
 PHONE = r"(?<![\p{L}\p{N}+(])(?:(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-][0-9]{2,8}){2,4}|\+[0-9]{9,14}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
+IPV6 = r"(?<![\p{L}\p{N}:])(?=[A-Fa-f:]*+[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 DAY = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])"
-SECRET = r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|(?:password|passwd|secret|token|api_key) ?[=:] ?[\"']?[A-Za-z0-9+/_-]{8,})"
-ANY = "|".join(p.replace(r"\1", r"\k<a>").replace(r"\2", r"\k<b>").replace("([ -])", "(?<a>[ -])", 1).replace("([ -])", "(?<b>[ -])", 1) for p in (EMAIL, SECRET, IPV4, DAY, SSN, PHONE, CARD))
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
+SECRET = rf"(?<![A-Za-z0-9])(?:(?:{HEADS})[A-Za-z0-9_-]+|(?i:{NAMES}) ?[=:] ?[\"']?[A-Za-z0-9+/_-]{{8,}})"
+ANY = "|".join(p.replace(r"\1", r"\k<a>").replace(r"\2", r"\k<b>").replace("([ -])", "(?<a>[ -])", 1).replace("([ -])", "(?<b>[ -])", 1) for p in (EMAIL, SECRET, IPV6, IPV4, DAY, SSN, IBAN, PHONE, CARD))
+#: Country calling codes of one and two digits; all others have three.
+CALLING = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -48,11 +60,24 @@ def below(digest: Column, n: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") % n
 
 
-def shifted(half: Column, digest: Column, alphabets: tuple[str, ...]) -> Column:
+def code_point(n: Column) -> Column:
+    """The character of a code point."""
+    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+
+
+def shifted(half: Column, digest: Column, alphabets: tuple[str, ...], letters: bool = False) -> Column:
+    """Each character moved within its alphabet; with ``letters`` also those of other scripts."""
+
     def one(i: Column) -> Column:
         c = half.substr(i, F.lit(1))
-        by = F.conv(digest.substr((i - 1) % 32 * 2 + 1, F.lit(2)), 16, 10).cast("int")
+        by = F.conv(digest.substr((i - 1) % 16 * 4 + 1, F.lit(4)), 16, 10).cast("int")
         out = c
+        if letters:
+            n = F.ascii(c)
+            start = n - n % 128
+            out = F.when(c.rlike(r"[\p{L}\p{N}]"), code_point(start + (n - start + by) % 128)).otherwise(c)
+            for first, size in STRETCHES:
+                out = F.when(n.between(first, first + size - 1), code_point(first + (n - first + by) % size)).otherwise(out)
         for a in reversed(alphabets):
             out = F.when(F.position(c, F.lit(a)) > 0, F.lit(a).substr((F.position(c, F.lit(a)) - 1 + by) % len(a) + 1, F.lit(1))).otherwise(out)
         return out
@@ -60,7 +85,12 @@ def shifted(half: Column, digest: Column, alphabets: tuple[str, ...]) -> Column:
     return F.when(F.length(half) == 0, "").otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.length(half)), one), ""))
 
 
-def permuted(value: Column, key: str, tweak: str, alphabets: tuple[str, ...] = (DIGITS,)) -> Column:
+def walked(first: Column, again: Callable[[Column], Column], fits: Callable[[Column], Column]) -> Column:
+    """``first``, permuted again until it fits: a permutation of the values that fit."""
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, lambda v, _: F.when(fits(v), v).otherwise(again(v)))
+
+
+def permuted(value: Column, key: str, tweak: str, alphabets: tuple[str, ...] = (DIGITS,), letters: bool = False) -> Column:
     """Feistel network over the two halves of a string; characters outside the alphabets stay."""
 
     def net(v: Column) -> Column:
@@ -69,8 +99,8 @@ def permuted(value: Column, key: str, tweak: str, alphabets: tuple[str, ...] = (
 
         def turn(acc: Column, r: Column) -> Column:
             a, b = acc["a"], acc["b"]
-            left = shifted(a, hashed(key, tweak, r, n, b), alphabets)
-            right = shifted(b, hashed(key, tweak, r, n, a), alphabets)
+            left = shifted(a, hashed(key, tweak, r, n, b), alphabets, letters)
+            right = shifted(b, hashed(key, tweak, r, n, a), alphabets, letters)
             return F.struct(F.when(r % 2 == 0, left).otherwise(a).alias("a"), F.when(r % 2 == 1, right).otherwise(b).alias("b"))
 
         first = F.struct(v.substr(F.lit(1), m).alias("a"), v.substr(m + 1, n).alias("b"))
@@ -94,12 +124,13 @@ def digits_of(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
-def refilled(form: Column, digits: Column) -> Column:
-    """``form`` with its digits replaced by ``digits`` in order."""
+def refilled(form: Column, digits: Column, place: str = "[0-9]") -> Column:
+    """``form`` with its digits, or what ``place`` says, replaced by ``digits`` in order."""
 
     def one(i: Column) -> Column:
         c = form.substr(i, F.lit(1))
-        return F.when(c.rlike("[0-9]"), digits.substr(F.length(digits_of(form.substr(F.lit(1), i))), F.lit(1))).otherwise(c)
+        upto = F.length(F.regexp_replace(form.substr(F.lit(1), i), f"[^{place[1:]}", ""))
+        return F.when(c.rlike(place), digits.substr(upto, F.lit(1))).otherwise(c)
 
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(form)), one), "")
 
@@ -125,13 +156,13 @@ def card(v: Column, key: str) -> Column:
 
 
 def phone(v: Column, key: str) -> Column:
-    """The country code stays, the other digits are permuted."""
+    """The country code stays, the other digits are permuted, whatever stands between them."""
 
     def new(code: Column) -> Column:
         rest = v.substr(F.length(code) + 1, F.length(v))
         return F.concat(code, let(permuted(digits_of(rest), key, "phone"), lambda d: refilled(rest, d)))
 
-    return let(F.regexp_extract(v, r"^(\+?[0-9]{1,3}[ .-]?(?=\()|\+[0-9]{1,3}(?=[ .-])|\+[0-9](?=[0-9]))", 1), new)
+    return let(F.regexp_extract(v, rf"^(\+(?:{CALLING})|[0-9]{{1,3}}[ .-]?(?=\())", 1), new)
 
 
 def ipv4(v: Column, key: str) -> Column:
@@ -143,30 +174,60 @@ def ipv4(v: Column, key: str) -> Column:
     return let(F.transform(F.split(v, r"\."), lambda x: x.cast("int")), new)
 
 
+def ipv6(v: Column, key: str) -> Column:
+    """The hexadecimal digits of the groups, as many in each as before."""
+    low = F.lower(v)
+    return let(permuted(F.replace(low, F.lit(":"), F.lit("")), key, "ipv6", (HEX,)), lambda d: refilled(low, d, "[0-9a-f]"))
+
+
+def iban(v: Column, key: str) -> Column:
+    """The country stays, the account is permuted and gets new check digits."""
+
+    def rest_of(account: Column, country: Column, check: Column) -> Column:
+        text = F.concat(account, country, check)
+        value = lambda c: F.position(c, F.lit(DIGITS + HIGH)) - 1
+        return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), lambda s, i: let(value(text.substr(i, F.lit(1))), lambda x: (s * F.when(x > 9, 100).otherwise(10) + x) % 97))
+
+    def new(c: Column) -> Column:
+        country, account = c.substr(1, 2), c.substr(F.lit(5), F.length(c))
+        moved = let(permuted(account, key, "iban", (DIGITS, HIGH)), lambda a: F.concat(country, F.lpad((98 - rest_of(a, country, F.lit("00"))).cast("string"), 2, "0"), a))
+        return F.when(rest_of(account, country, c.substr(3, 2)) == 1, let(moved, lambda m: refilled(v, m, "[0-9A-Z]"))).otherwise(v)
+
+    return let(F.replace(v, F.lit(" "), F.lit("")), new)
+
+
 def ssn(v: Column, key: str) -> Column:
-    valid = ~v.rlike("^(000|666|9)|-00-|-0000$")
-    return F.when(valid, let(permuted(digits_of(v), key, "ssn"), lambda d: refilled(v, d))).otherwise(v)
+    given = lambda d: ~d.rlike("^(?:000|666|9)|^...00|0000$")
+
+    def new(d: Column) -> Column:
+        once = lambda x: permuted(x, key, "ssn")
+        return F.when(given(d), let(walked(once(d), once, given), lambda m: refilled(v, m))).otherwise(v)
+
+    return let(digits_of(v), new)
 
 
 def day(v: Column, key: str) -> Column:
-    """146,097 = 189 * 773 days make up the 400 years."""
-    form = F.when(v.contains("/"), F.lit("dd/MM/yyyy")).otherwise(F.lit("yyyy-MM-dd"))
+    """146,097 = 189 * 773 days make up the 400 years. Day before month, unless only the other order is a day: such days stay in it."""
     first = F.lit("1800-01-01").cast("date")
+    read = lambda *at: F.concat_ws("-", *[v.substr(a, n) for a, n in at]).try_cast("date")
 
     def new(d: Column) -> Column:
+        month_first = v.contains("/") & read((7, 4), (4, 2), (1, 2)).isNull()
+        net = lambda at: let(permuted_pair(F.floor(at / 773), at % 773, 189, 773, key, "day"), lambda p: (p["a"] * 773 + p["b"]).cast("int"))
+        text = lambda at: F.date_format(F.date_add(first, at), "yyyy-MM-dd")
+        fits = lambda at: ~month_first | (F.dayofmonth(F.date_add(first, at)) > 12)
         at = F.datediff(d, first)
-        net = permuted_pair(F.floor(at / 773), at % 773, 189, 773, key, "day")
-        moved = let(net, lambda p: F.date_format(F.date_add(first, (p["a"] * 773 + p["b"]).cast("int")), "yyyy-MM-dd"))
-        out = let(moved, lambda m: F.when(v.contains("/"), F.concat_ws("/", m.substr(9, 2), m.substr(6, 2), m.substr(1, 4))).otherwise(m))
+        order = lambda m: F.when(month_first, F.concat_ws("/", m.substr(6, 2), m.substr(9, 2), m.substr(1, 4))).when(v.contains("/"), F.concat_ws("/", m.substr(9, 2), m.substr(6, 2), m.substr(1, 4))).otherwise(m)
+        out = let(text(walked(net(at), net, fits)), order)
         return F.when(at.between(0, 146_096), out).otherwise(v)
 
-    plain = F.when(v.contains("/"), F.concat_ws("-", v.substr(7, 4), v.substr(4, 2), v.substr(1, 2))).otherwise(v)
-    return let(plain.try_cast("date"), new)
+    plain = F.when(v.contains("/"), F.coalesce(read((7, 4), (4, 2), (1, 2)), read((7, 4), (1, 2), (4, 2)))).otherwise(v.try_cast("date"))
+    return let(plain, new)
 
 
 def email(v: Column, key: str) -> Column:
     local, domain = F.substring_index(v, "@", 1), F.substring_index(v, "@", -1)
-    return F.concat(permuted(local, key, "email", (LOW, HIGH, DIGITS, LATIN)), F.lit("@"), domain)
+    return F.concat(permuted(local, key, "email", (LOW, HIGH, DIGITS, LATIN, LATIN_HIGH), True), F.lit("@"), domain)
 
 
 def secret(v: Column, key: str) -> Column:
@@ -174,11 +235,11 @@ def secret(v: Column, key: str) -> Column:
         rest = v.substr(F.length(head) + 1, F.length(v))
         return F.concat(head, F.when(rest.rlike("^[0-9a-f]+$"), permuted(rest, key, "hex", (HEX,))).otherwise(permuted(rest, key, "secret", (LOW, HIGH, DIGITS))))
 
-    return let(F.regexp_extract(v, r"^(AKIA|ASIA|[a-z_]+ ?[=:] ?[\"']?)", 1), new)
+    return let(F.regexp_extract(v, rf"^({HEADS}|(?i:{NAMES}) ?[=:] ?[\"']?)", 1), new)
 
 
-KINDS = {"email": email, "secret": secret, "ip": ipv4, "day": day, "ssn": ssn, "phone": phone, "card": card}
-_TELLS = {"email": "@", "secret": r"^(AKIA|ASIA|[a-z_]+ ?[=:])", "ip": r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$", "day": r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})$", "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "phone": r"^[+(]|^[0-9]{1,3}[ .-]?\(|^[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$"}
+KINDS = {"email": email, "secret": secret, "ip": ipv4, "ipv6": ipv6, "day": day, "ssn": ssn, "iban": iban, "phone": phone, "card": card}
+_TELLS = {"email": "@", "secret": rf"^(?:{HEADS}|(?i:{NAMES}) ?[=:])", "ip": r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$", "ipv6": "^[0-9A-Fa-f]+:[0-9A-Fa-f:]+$", "day": r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})$", "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "iban": "^[A-Z]", "phone": r"^[+(]|^[0-9]{1,3}[ .-]?\(|^[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$"}
 
 
 def kind_of(v: Column) -> Column:
@@ -196,10 +257,10 @@ def pseudonym(v: Column, key: str) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", count_col: str | None = None) -> DataFrame:
-    """``docs`` with pseudonyms in ``text_col``; ``count_col`` gets the number of values that changed."""
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
+    """``docs`` with pseudonyms in ``text_col`` under the caller's secret ``key``; ``count_col`` gets the number of values that changed."""
     text = F.col(text_col)
-    suspect = text.rlike(r"[0-9@]") & text.rlike(ANY)
+    suspect = text.rlike(ANY)
     found = "__found"
     while found in docs.columns:
         found += "_"
@@ -211,9 +272,9 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", count_
     return out.withColumns(changed).drop(found)
 
 
-def findings(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def findings(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, kind, value, pseudonym) of every candidate that is valid, once for each time it occurs."""
     text = F.col(text_col)
-    one = docs.where(text.rlike(r"[0-9@]")).select(F.col(id_col).alias("id"), F.explode(F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).alias("value"))
+    one = docs.where(text.rlike(ANY)).select(F.col(id_col).alias("id"), F.explode(F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).alias("value"))
     one = one.select("id", kind_of(F.col("value")).alias("kind"), "value", pseudonym(F.col("value"), key).alias("pseudonym")).where("value <> pseudonym")
     return one.withColumnRenamed("id", id_col)

@@ -1,4 +1,7 @@
+import hashlib
+import random
 import re
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,17 +58,17 @@ def test_equal_values_stay_linked_and_text_between_is_kept(spark):
 
 def test_odd_rows_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (3, "plain", "c"), (3, "plain", "c"), (None, "1.2.3.4 " * 2000, "d")], "doc_id long, text string, __found string")
-    got = pii.pseudonymise(df, count_col="n")
+    got = pii.pseudonymise(df, "k", count_col="n")
     assert got.columns == ["doc_id", "text", "__found", "n"]
     rows = sorted(got.collect(), key=str)
     assert [r["n"] for r in sorted(rows, key=lambda r: r["n"])] == [0, 0, 0, 0, 2000]
-    assert pii.pseudonymise(df.where("false")).count() == 0
+    assert pii.pseudonymise(df.where("false"), "k").count() == 0
 
 
 def test_whole_table_against_a_search_in_python(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before = {r["doc_id"]: r["text"] for r in docs.collect()}
-    after = {r["doc_id"]: r["text"] for r in pii.pseudonymise(docs).select("doc_id", "text").collect()}
+    after = {r["doc_id"]: r["text"] for r in pii.pseudonymise(docs, "k").select("doc_id", "text").collect()}
     hit = 0
     for i, t in before.items():
         values = [m for m in re.findall(r"(?<!\w)\d{16}(?!\w)", t) if luhn(m)] + re.findall(r"[\w.]+@[\w.]+\.com", t) + re.findall(r"\+1 \(\d{3}\) \d{3}-\d{4}", t) + re.findall(r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}", t) + re.findall(r"AKIA\w{16}|[0-9a-f]{40}", t)
@@ -80,3 +83,133 @@ def test_whole_table_against_a_search_in_python(spark):
 def test_short_strings(spark, n):
     got = spark.range(10**n).select(pii.permuted(F.lpad(F.col("id").cast("string"), n, "0"), "k", "t").alias("p")).distinct().count()
     assert got == 10**n
+
+
+# A second implementation in Python.
+def digest(key, tweak, turn, *data):
+    return hashlib.sha256("|".join([key, tweak, str(turn), *map(str, data)]).encode()).hexdigest()
+
+
+def shift(half, d, alphabets):
+    out = []
+    for i, c in enumerate(half):
+        by = int(d[i % 16 * 4 :][:4], 16)
+        a = next((a for a in alphabets if c in a), None)
+        out.append(a[(a.index(c) + by) % len(a)] if a else c)
+    return "".join(out)
+
+
+def permute(v, key, tweak, alphabets=(pii.DIGITS,)):
+    n, m = len(v), -(-len(v) // 2)
+    a, b = v[:m], v[m:]
+    for r in range(pii.ROUNDS):
+        if r % 2 == 0:
+            a = shift(a, digest(key, tweak, r, n, b), alphabets)
+        else:
+            b = shift(b, digest(key, tweak, r, n, a), alphabets)
+    return a + b
+
+
+def pair(a, b, n, m, key, tweak):
+    for r in range(pii.ROUNDS):
+        if r % 2 == 0:
+            a = (a + int(digest(key, tweak, r, b)[:13], 16) % n) % n
+        else:
+            b = (b + int(digest(key, tweak, r, a)[:13], 16) % m) % m
+    return a, b
+
+
+def fill(form, digits):
+    left = iter(digits)
+    return "".join(next(left) if c.isdigit() else c for c in form)
+
+
+def again(kind, v, key):
+    d = re.sub(r"\D", "", v)
+    if kind == "card":
+        body = d[0] + permute(d[1:-1], key, "card")
+        return fill(v, next(body + c for c in pii.DIGITS if luhn(body + c)))
+    if kind == "ssn":
+        while True:
+            d = permute(d, key, "ssn")
+            if d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000":
+                return fill(v, d)
+    if kind == "ip":
+        o = list(map(int, v.split(".")))
+        x, y = pair(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536, key, "ip")
+        return f"{x // 256}.{x % 256}.{y // 256}.{y % 256}"
+    if kind == "phone":
+        code = re.match(rf"\+(?:{pii.CALLING})|[0-9]{{1,3}}[ .-]?(?=\()|", v)[0]
+        return code + fill(v[len(code) :], permute(re.sub(r"\D", "", v[len(code) :]), key, "phone"))
+    if kind == "email":
+        local, domain = v.rsplit("@", 1)
+        return permute(local, key, "email", (pii.LOW, pii.HIGH, pii.DIGITS, pii.LATIN, pii.LATIN_HIGH)) + "@" + domain
+    if kind == "secret":
+        head = re.match(rf"{pii.HEADS}|(?i:{pii.NAMES}) ?[=:] ?[\"']?", v)[0]
+        rest = v[len(head) :]
+        return head + (permute(rest, key, "hex", (pii.HEX,)) if re.fullmatch("[0-9a-f]+", rest) else permute(rest, key, "secret", (pii.LOW, pii.HIGH, pii.DIGITS)))
+    if kind == "day":
+        first = date(1800, 1, 1)
+        order = "%Y-%m-%d"
+        if "/" in v:
+            order = "%d/%m/%Y" if int(v[3:5]) <= 12 else "%m/%d/%Y"
+        at = (datetime.strptime(v, order).date() - first).days
+        while True:
+            x, y = pair(at // 773, at % 773, 189, 773, key, "day")
+            at = x * 773 + y
+            out = first + timedelta(at)
+            if order != "%m/%d/%Y" or out.day > 12:
+                return out.strftime(order)
+    raise AssertionError(kind)
+
+
+def test_whole_table_against_a_second_implementation(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = pii.findings(docs, "a key").collect()
+    assert len(found) > 50 and len({r["kind"] for r in found}) >= 4
+    for r in found:
+        assert r["pseudonym"] == again(r["kind"], r["value"], "a key"), r
+
+
+def test_made_up_values_against_a_second_implementation(spark):
+    rng = random.Random(4)
+    texts = []
+    for _ in range(300):
+        n = lambda k: "".join(rng.choices("0123456789", k=k))
+        texts += [f"{n(3)}-{n(2)}-{n(4)}", f"{rng.randrange(1, 13):02}/{rng.randrange(1, 29):02}/{rng.randrange(1800, 2200)}", f"+{rng.choice(['1', '49', '351'])} {n(3)} {n(7)}", f"Token: {n(3)}abcXYZ{n(2)}", f"{n(2)}{rng.choice('.-')}a{n(1)}É@x.org"]
+    found = pii.findings(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k2").collect()
+    assert len(found) > 1200
+    for r in found:
+        assert r["pseudonym"] == again(r["kind"], r["value"], "k2"), r
+
+
+def test_values_that_once_stayed(spark):
+    texts = ["write password=hunterhunter now", "write password=hunterhunter now 7", "иван@example.ru", "山田@example.jp", "ÉMILE@example.fr", "ქართ@example.ge", "on 12/25/2020 x", "Password: Hunterhunter", "PASSWORD=hunterhunter", "ghp_abcdefghijklmnopqrstuvwxyz0123456789", "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "2001:db8::ff00:42:8329", "2001:0db8:0000:0000:0000:ff00:0042:8329"]
+    out = masked(spark, *texts)
+    for t, o in zip(texts, out, strict=True):
+        assert t != o and len(t) == len(o)
+    assert out[0][len("write password=") :].split()[0] == out[1][len("write password=") :].split()[0] == out[8][len("PASSWORD=") :]
+    for k in (2, 3, 4, 5):
+        assert not set(texts[k].split("@")[0]) <= set(out[k].split("@")[0])
+    assert out[11].replace(" ", "") == out[10] and int("".join(str(int(c, 36)) for c in out[10][4:] + out[10][:4])) % 97 == 1
+    month, dom = map(int, out[6][3:8].split("/"))
+    assert month <= 12 < dom
+    same = masked(spark, "+49 30 1234567", "+49301234567", "+1 212 555 0199", "212-555-0199", "(212) 555-0199")
+    digits = [re.sub(r"\D", "", x) for x in same]
+    assert digits[0] == digits[1] and digits[2][1:] == digits[3] == digits[4]
+    assert masked(spark, "DE88370400440532013000", "at 12:30:45", "a::b", "std::vec", "tokens: many of them", "the secret is out", "31/31/2020") == ["DE88370400440532013000", "at 12:30:45", "a::b", "std::vec", "tokens: many of them", "the secret is out", "31/31/2020"]
+
+
+def test_valid_numbers_stay_valid(spark):
+    rng = random.Random(9)
+    some = sorted({f"{rng.choice([*range(1, 666), *range(667, 900)]):03}-{rng.randrange(1, 100):02}-{rng.randrange(1, 10000):04}" for _ in range(3000)})
+    out = masked(spark, *some)
+    assert len(set(out)) == len(some)
+    assert not [o for o in out if re.match("000|666|9", o) or "-00-" in o or o.endswith("-0000")]
+
+
+def test_a_long_value_and_a_null_column(spark):
+    long = "a" * 3000 + "@example.org"
+    out = masked(spark, long, "@", "@@@", "....", "a@b", "1" * 5000)
+    assert out[0].endswith("@example.org") and len(out[0]) == len(long) and out[0] != long
+    assert out[1:] == ["@", "@@@", "....", "a@b", "1" * 5000]
