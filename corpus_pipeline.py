@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.llm import bpe, common, mixing, neardup, pii, quality
-from quillmark.llm.queries import tokenizer
+from quillmark.llm.queries import pii_key, tokenizer
 
 #: No budget: every document is drawn at least once; rarer sources up to one and a half times as often.
 MIX = mixing.Mix(max_repeats=1.5)
@@ -26,7 +26,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts gives way to pseudonyms; addresses may change in length, so lengths are counted anew."""
-    out = pii.pseudonymise(docs)
+    out = pii.pseudonymise(docs, pii_key(spark))
     return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
