@@ -37,8 +37,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "text", "n_private")
 
 
-#: Production parameters: 97 % of the largest entropy, at most four passes over a source, as many tokens as there are.
-TEMPERATURE = mixing.Mix(target_entropy=0.97, max_repeats=4.0)
+#: Production parameters: 97 % of the largest entropy, at most four passes over a source, as many tokens as there are. Sources that are more even stay so.
+TEMPERATURE = mixing.Mix(target_entropy=0.97, max_repeats=4.0, only_flatten=True)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
