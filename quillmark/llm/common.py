@@ -19,8 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A new folder name inside the folder that the driver and all executors share."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:  # only where the cluster names none, as in tests
-        import tempfile
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("name a folder that the driver and all executors share in spark.checkpoint.dir")
+        import tempfile  # one machine, one process
 
         shared = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(shared)
@@ -58,6 +60,26 @@ def bounded(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordB
             a = z
 
 
+#: Bytes of one range of ids, so that a range's size doesn't grow with the table.
+RANGE = 64 << 20
+#: Tasks that the rows of one key are dealt to in a join that a key may be hot in.
+SALTS = 16
+
+
+def range_count(spark: SparkSession, size: float | None) -> int:
+    return max(parts(spark), int((size or 0) // RANGE) + 1)
+
+
+def hot_join(rows: DataFrame, table: DataFrame, key: list[str], by: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table``, which has one row for a key; a key's rows are dealt out by ``by``.
+
+    The table's row goes where rows of its key are, so it is copied at most ``SALTS`` times and no more often than there are rows.
+    """
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(SALTS)))
+    heads = salted.select(*key, "__salt").distinct().join(table, key)
+    return salted.join(heads, [*key, "__salt"], how).drop("__salt")
+
+
 def id_ranges(df: DataFrame, id_col: str, n: int) -> list[int]:
     """At most ``n`` - 1 ascending values that cut the ids into ranges of about equal row counts.
 

@@ -6,7 +6,7 @@ of two signatures is the number of positions that differ. The 64 indexed positio
 chunks of 4. By pigeonhole, two signatures within distance 31 have a chunk with at most one error,
 so each signature is entered 64 times: for every chunk, once without each of its positions. All
 pairs within distance 31 meet under some entry; pairs of a Jaccard similarity of 0.75 are within it
-but for a chance of about 1e-5, as their distance is binomial with mean 16. What meets is confirmed on the
+but for a chance of 1.5e-5, as their distance is binomial with mean 16. What meets is confirmed on the
 full shingle sets.
 
 Only classes of documents with equal sets are compared. An entry's members are first compared with
@@ -28,14 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, scratch, staged
+from .common import SALTS, discard, hot_join, scratch, staged
 
 WORDS = 5
 INDEXED, REFINING = 64, 192
 CHUNK = 4
 RADIUS = 31
-#: Of all 256 positions: 64 + 4.2 standard deviations of the binomial at similarity 0.75.
-WHOLE_RADIUS = 93
+#: Of all 256 positions: 64 + 4.9 standard deviations of the binomial at similarity 0.75.
+WHOLE_RADIUS = 98
 #: Most members of one group that stand on either side of a piece of work, and about as many shingles.
 BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 KEEP, OF = 75, 100
@@ -156,7 +156,7 @@ def full_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Da
 def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Pairs (a, b) whose full shingle sets are similar enough."""
     sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, id_col, text_col)
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
+    both = hot_join(pairs, sets.select(F.col("id").alias("a"), F.col("set").alias("x")), ["a"], "b").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
     both = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("i"), (F.size("x") + F.size("y")).cast("long").alias("s"))
     return both.where(OF * F.col("i") >= KEEP * (F.col("s") - F.col("i"))).select("a", "b")
 
@@ -168,20 +168,25 @@ def components(links: DataFrame, at: str) -> DataFrame:
     that a chain's length at least halves; labels are written out after each round.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = staged(both, f"{at}/links")
+    # the id on the other side decides where the rows of a hub go; labels are copied to all of these places
+    salted = lambda df, by: df.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)))
+    copied = lambda df: df.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(SALTS)])))
+    both = staged(salted(both, "a"), f"{at}/links")
     labels = staged(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("l")), f"{at}/labels0")
     k = 0
     while True:
         k += 1
-        seen = both.join(labels.select(F.col("id").alias("b"), F.col("l").alias("lb")), "b").groupBy("a").agg(F.min("lb").alias("m"))
+        seen = both.join(copied(labels.select(F.col("id").alias("b"), F.col("l").alias("lb"))), ["b", "salt"]).groupBy("a").agg(F.min("lb").alias("m"))
         # neighbours' smallest label, also handed to the label's own id (hooking)
         new = labels.join(seen, labels["id"] == seen["a"]).select("id", "l", F.least("l", "m").alias("n"))
         hooks = new.where("n < l").groupBy(F.col("l").alias("h")).agg(F.min("n").alias("hn"))
         new = new.join(hooks, new["id"] == hooks["h"], "left").select("id", "l", F.coalesce(F.least("n", "hn"), "n").alias("n"))
-        jump = new.select(F.col("id").alias("j"), F.col("n").alias("jn"))
-        done = new.join(jump, new["n"] == jump["j"], "left").select("id", F.coalesce(F.least("n", "jn"), "n").alias("l"), F.col("l").alias("old"))
+        jump = copied(new.select(F.col("id").alias("n"), F.col("n").alias("jn")))
+        done = salted(new, "id").join(jump, ["n", "salt"], "left").select("id", F.coalesce(F.least("n", "jn"), "n").alias("l"), F.col("l").alias("old"))
         labels = staged(done, f"{at}/labels{k}")
+        discard(labels.sparkSession, f"{at}/labels{k - 1}")
         if labels.where("l <> old").isEmpty():
+            discard(labels.sparkSession, f"{at}/links")
             return labels.select("id", F.col("l").alias("component"))
 
 
@@ -238,7 +243,7 @@ def in_pieces(members: DataFrame, work, schema: str) -> DataFrame:
     sizes = members.groupBy("low").agg(
         size(F.count("*"), F.sum("n")).alias("qs"), size(F.count_if(away), F.sum(F.when(away, F.col("n")).otherwise(0))).alias("ps")
     )
-    m = members.join(sizes, "low")
+    m = hot_join(members, sizes, ["low"], "id")
     cols = [c for c in members.columns if c != "home"]
     h = F.xxhash64("id")
     every = F.sequence(F.lit(0), F.col("ps") - 1), F.sequence(F.lit(0), F.col("qs") - 1)
@@ -307,7 +312,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = staged(sets_of(docs, id_col, text_col), f"{at}/sets")
     named = sets.where("n > 0 and id is not null")
     # classes of equal sets; their smallest id stands for them
-    first = named.groupBy("s1", "s2").agg(F.min("id").alias("id"))
+    first = sets.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     classes = staged(named.join(first.select("id"), "id", "left_semi").dropDuplicates(["id"]).select("id", "n", "sig"), f"{at}/classes")
     keys = entries(classes)
     shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.count("*").alias("g")).where("g > 1").drop("g")
@@ -316,24 +321,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     side = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"sig{x}"))
     stars = met.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
-    stars = stars.join(side("a"), "a").join(side("b"), "b").where(like_sizes(F.col("na"), F.col("nb"))).where(close("siga", "sigb")).select("a", "b")
+    stars = hot_join(stars, side("a"), ["a"], "b").join(side("b"), "b").where(like_sizes(F.col("na"), F.col("nb"))).where(close("siga", "sigb")).select("a", "b")
+    stars = staged(stars, f"{at}/candidates")
     links = staged(confirmed(stars, docs, id_col, text_col), f"{at}/stars")
     labels = components(links, f"{at}/first")
 
     # groups whose members aren't all in one component yet
     label = F.coalesce("component", "id").alias("label")
-    told = met.join(labels, "id", "left").select("low", "id", label)
+    told = staged(met.join(labels, "id", "left").select("low", "id", label), f"{at}/told")
     homes = told.groupBy("low").agg(F.max(F.when(F.col("id") == F.col("low"), F.col("label"))).alias("home"), F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("g")).where("x <> y and g > 2")
-    members = staged(told.join(homes.select("low", "home"), "low").join(classes, "id"), f"{at}/members")
+    members = staged(hot_join(told, homes.select("low", "home"), ["low"], "id").join(classes, "id"), f"{at}/members")
     near = staged(involved(members), f"{at}/near")
     members = members.join(near, ["low", "id"])
     more = staged(across(members.join(full_sets(near.select("id"), docs, id_col, text_col), "id")), f"{at}/more")
     labels = components(links.union(more), f"{at}/second")
 
-    found = first.join(labels, "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("c"))
-    out = sets.join(found, ["s1", "s2"], "left")
-    component = F.when(F.col("n") > 0, F.col("c")).otherwise(F.col("id")).alias("component_id")
-    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component)
-    for done in ("met", "members"):
+    # rows find their own label; rows of a set that others have find that of the set's smallest id, in several places each
+    others = first.where("copies > 1").join(labels, "id", "left").select("s1", "s2", F.coalesce("component", "id").alias("of_set"))
+    others = others.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(SALTS)])))
+    out = sets.where("n > 0").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))).join(others, ["s1", "s2", "salt"], "left").join(labels, "id", "left")
+    out = out.select("id", "n", F.coalesce("of_set", "component", "id").alias("c")).unionByName(sets.where("n = 0").select("id", "n", F.col("id").alias("c")))
+    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("c").alias("component_id"))
+    for done in ("met", "classes", "candidates", "stars", "told", "members", "near", "more"):
         discard(spark, f"{at}/{done}")
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))

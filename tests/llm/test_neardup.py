@@ -28,7 +28,7 @@ def brute(rows):
     for i in ids:
         for s in sets[i]:
             index.setdefault(s, []).append(i)
-    pairs = {(a, b) for g in index.values() if len(g) < 400 for k, a in enumerate(g) for b in g[k + 1 :]}
+    pairs = {(a, b) for g in index.values() for k, a in enumerate(g) for b in g[k + 1 :]}
     for a, b in pairs:
         n = len(sets[a] & sets[b])
         if n and 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n):
