@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_ranges, parts, range_of
+from .common import id_ranges, range_count, range_of
 
 WIDTH, FRACTION = 16, 16
 
@@ -97,7 +97,8 @@ def with_following(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(part, guest, id, text): id ranges, each ended by a guest, the first row of the next range (of the first for the last)."""
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    base = base.withColumn("part", range_of("id", id_ranges(base, "id", parts(spark))))
+    n = range_count(spark, base.agg(F.sum(F.octet_length("text"))).first()[0])
+    base = base.withColumn("part", range_of("id", id_ranges(base, "id", n)))
     # one row for each range comes to the driver
     heads = sorted((r["part"], None if r["nulls"] else r["low"]) for r in base.groupBy("part").agg(F.min("id").alias("low"), F.max(F.col("id").isNull()).alias("nulls")).collect())
     host = {part: heads[k - 1][0] for k, (part, _) in enumerate(heads)}
@@ -109,7 +110,7 @@ def with_following(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     to = F.create_map(*[F.lit(x) for pair in host.items() for x in pair]) if host else F.create_map(F.lit(-1), F.lit(-1))
     guests = guests.select("id", "text", F.element_at(to, F.col("part")).alias("part"), F.lit(True).alias("guest"))
     both = base.withColumn("guest", F.lit(False)).unionByName(guests)
-    return both.repartition(parts(spark), "part").sortWithinPartitions("part", "guest", "id", "text").select("part", "guest", "id", "text")
+    return both.repartitionById(n, "part").sortWithinPartitions("part", "guest", "id", "text").select("part", "guest", "id", "text")
 
 
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
