@@ -3,10 +3,11 @@
 One table of frequencies, counted over all documents and scaled to 2**18, serves all blocks. A block
 holds whole documents in id order. Its ids are dealt to interleaved lanes, which are encoded backwards by
 64-bit states that give off 32-bit words; every 256 steps the states and the place in the words
-are kept as a checkpoint from which a decoder can start. A block's head:
+are kept as a checkpoint from which a decoder can start, with a checksum of the words up to the next one, so parts of
+a block are decoded and checked apart. A block's head:
 
-    magic "QRB1", scale bits, lanes, tokens, steps, words, checkpoints, crc32 of what follows
-    checkpoints: word offset and the states of all lanes, as unsigned 64-bit numbers
+    magic "QRB2", scale bits, lanes, tokens, steps, words, checkpoints, crc32 of the checkpoints
+    checkpoints: word offset, crc32 of its words and the states of all lanes, as unsigned 64-bit numbers
     words: unsigned 32-bit numbers in the order in which a decoder reads them
 
 Blocks are rows of a Parquet table (file, block, start, doc_ids, n_tokens, payload), beside a table of
@@ -27,11 +28,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import bounded, discard, id_ranges, parts, range_of, scratch, staged
+from .common import bounded, discard, id_ranges, range_count, range_of, scratch, staged
 
 SCALE, LANES, EVERY = 18, 1024, 256
 #: Tokens of a block, but for a longer document, which is a block of its own.
@@ -90,21 +91,27 @@ def encode_block(ids: np.ndarray, table: Table, lanes: int = LANES, every: int =
         if t % every == 0:
             marks.append((given, x.copy()))
     stream = np.concatenate(words[::-1]) if words else np.zeros(0, "<u4")
-    body = b"".join(np.concatenate([[np.uint64(given - done)], state]).astype("<u8").tobytes() for done, state in reversed(marks)) + stream.tobytes()
-    return HEAD.pack(b"QRB1", SCALE, lanes, n, steps, len(stream), len(marks), zlib.crc32(body)) + body
+    starts = [given - done for done, _ in reversed(marks)]
+    crcs = [zlib.crc32(stream[a:z]) for a, z in zip(starts, [*starts, given][1:], strict=True)]
+    points = b"".join(np.concatenate([np.array([a, crc], np.uint64), state]).astype("<u8").tobytes() for a, crc, (_, state) in zip(starts, crcs, reversed(marks), strict=True))
+    return HEAD.pack(b"QRB2", SCALE, lanes, n, steps, len(stream), len(marks), zlib.crc32(points)) + points + stream.tobytes()
 
 
 def decode_block(payload: bytes, table: Table, every: int = EVERY, first: int = 0, last: int | None = None) -> np.ndarray:
-    """Ids of a block, or of its checkpoints ``first`` up to ``last`` only."""
+    """Ids of a block, or of its checkpoints ``first`` up to ``last`` only, whose words alone are read and checked."""
     magic, scale, lanes, n, steps, n_words, marks, crc = HEAD.unpack_from(payload)
-    if magic != b"QRB1" or scale != SCALE or zlib.crc32(memoryview(payload)[HEAD.size :]) != crc:
+    size = marks * (lanes + 2) * 8
+    if magic != b"QRB2" or scale != SCALE or len(payload) != HEAD.size + size + 4 * n_words or zlib.crc32(memoryview(payload)[HEAD.size : HEAD.size + size]) != crc:
         raise ValueError("damaged block")
-    states = np.frombuffer(payload, "<u8", marks * (lanes + 1), HEAD.size).reshape(marks, lanes + 1)
-    words = np.frombuffer(payload, "<u4", n_words, HEAD.size + states.nbytes)
+    points = np.frombuffer(payload, "<u8", marks * (lanes + 2), HEAD.size).reshape(marks, lanes + 2)
+    words = np.frombuffer(payload, "<u4", n_words, HEAD.size + size)
     last = marks if last is None else min(last, marks)
     if first >= last:
         return np.zeros(0, np.uint32)
-    at, x = int(states[first, 0]), states[first, 1:].astype(np.uint64)
+    edges = np.append(points[:, 0], n_words).astype(np.int64)
+    if any(zlib.crc32(words[edges[k] : edges[k + 1]]) != int(points[k, 1]) for k in range(first, last)):
+        raise ValueError("damaged block")
+    at, x = int(edges[first]), points[first, 2:].astype(np.uint64)
     lo, hi = first * every, min(steps, last * every)
     out = np.empty((hi - lo, lanes), np.uint32)
     bits, half, mask = np.uint64(SCALE), np.uint64(32), np.uint64((1 << SCALE) - 1)
@@ -248,7 +255,8 @@ def write(docs: DataFrame, path: str, to: str, end_id: int = 2, id_col: str = "d
     at = scratch(spark)
     tokens = staged(tokenised(docs, path, end_id, id_col, text_col, added), f"{at}/tokens", compression="zstd")
     freq = scaled(counts_of(tokens))
-    cuts = id_ranges(tokens, "id", parts(spark))
+    n_files = range_count(spark, 4 * (tokens.agg(F.sum("n")).first()[0] or 0))
+    cuts = id_ranges(tokens, "id", n_files)
     tokens = tokens.withColumn("file", range_of("id", cuts))
     before, upto = {}, 0
     for r in sorted(tokens.groupBy("file").agg(F.sum("n").alias("n")).collect()):  # a row for each file
@@ -284,14 +292,26 @@ def write(docs: DataFrame, path: str, to: str, end_id: int = 2, id_col: str = "d
         if ids:
             yield flush()
 
-    ordered = tokens.select("file", "id", "ids").repartition(parts(spark), "file").sortWithinPartitions("file", "id", "ids")
+    ordered = tokens.select("file", "id", "ids").repartitionById(n_files, "file").sortWithinPartitions("file", "id", "ids")
     ordered.mapInArrow(run, f"file int, block int, start long, doc_ids array<{kind}>, n_tokens array<long>, payload binary").write.option("compression", "none").parquet(f"{to}/blocks")
     spark.createDataFrame([(k, int(f)) for k, f in enumerate(freq) if f], "token int, freq int").coalesce(1).write.parquet(f"{to}/frequencies")
     discard(spark, at)
 
 
-def read(spark: SparkSession, at: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document, from the files alone; blocks are decoded in parallel."""
+def part_of(payload: bytes, table: Table, a: int, z: int, every: int = EVERY) -> np.ndarray:
+    """Ids ``a`` up to ``z`` of a block, from the checkpoints around them."""
+    lanes = HEAD.unpack_from(payload)[2]
+    first = a // (lanes * every)
+    return decode_block(payload, table, every, first, -(-z // (lanes * every)))[a - first * lanes * every : z - first * lanes * every]
+
+
+def read(spark: SparkSession, at: str, only: Column | None = None) -> DataFrame:
+    """(doc_id, start, n_tokens, ids) of every document, from the files alone; blocks are decoded in parallel.
+
+    ``only``: a condition on ``doc_id``; of blocks with few such documents only the parts that hold them are decoded.
+    """
+    if only is not None:
+        return _chosen(spark, at, only)
     return _decoded(spark, at, lambda x: x.astype(np.uint32).view(np.int32).tolist(), pa.list_(pa.int32()), "ids array<int>")
 
 
@@ -300,11 +320,33 @@ def digests(spark: SparkSession, at: str) -> DataFrame:
     return _decoded(spark, at, lambda x: zlib.crc32(x.astype("<u4").tobytes()), pa.int64(), "ids_crc32 long")
 
 
-def _decoded(spark: SparkSession, at: str, value, kind: pa.DataType, column: str) -> DataFrame:
+def _chosen(spark: SparkSession, at: str, only: Column) -> DataFrame:
+    freq = frequencies(spark, at)
+    blocks = spark.read.parquet(f"{at}/blocks")
+    kind = dict(blocks.dtypes)["doc_ids"][len("array<") : -1]
+    first = F.aggregate(F.slice("n_tokens", 1, F.col("k")), F.lit(0).cast("long"), lambda s, x: s + x)
+    rows = blocks.select("start", "n_tokens", "payload", F.posexplode("doc_ids").alias("k", "doc_id")).where(only)
+    rows = rows.select("doc_id", (F.col("start") + first).alias("start"), F.get("n_tokens", "k").alias("n_tokens"), first.alias("a"), "payload")
+
+    def run(batches):
+        table = Table(freq)
+        for b in batches:
+            each = [part_of(p, table, a, a + n).view(np.int32) for a, n, p in zip(*(b.column(c).to_pylist() for c in ("a", "n_tokens", "payload")), strict=True)]
+            yield pa.record_batch([b.column("doc_id"), b.column("start"), b.column("n_tokens"), pa.array(each, pa.list_(pa.int32()))], ["doc_id", "start", "n_tokens", "ids"])
+
+    return rows.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids array<int>")
+
+
+def frequencies(spark: SparkSession, at: str) -> np.ndarray:
     rows = spark.read.parquet(f"{at}/frequencies").collect()  # as many as the vocabulary has
     freq = np.zeros(1 + max((r["token"] for r in rows), default=0), np.uint32)
     for r in rows:
         freq[r["token"]] = r["freq"]
+    return freq
+
+
+def _decoded(spark: SparkSession, at: str, value, kind: pa.DataType, column: str) -> DataFrame:
+    freq = frequencies(spark, at)
     blocks = spark.read.parquet(f"{at}/blocks").select("start", "doc_ids", "n_tokens", "payload")
     of = dict(blocks.dtypes)["doc_ids"][len("array<") : -1]
 

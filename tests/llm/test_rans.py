@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
 from quillmark.llm import rans
 from quillmark.llm.common import scratch
 
@@ -94,3 +95,25 @@ def test_added_tokens_as_the_library_has_them(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     monkeypatch.setattr(queries, "table", lambda *_: df)
     assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in queries.op6_rans(spark, "").collect()} == want
+
+
+def test_parts_are_decoded_and_checked_apart():
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 300, 50_000).astype(np.uint32)
+    table = rans.Table(rans.scaled(np.bincount(ids, minlength=300)))
+    payload = rans.encode_block(ids, table, lanes=64, every=16)
+    for a, z in ((0, 50_000), (1024, 2048), (7, 9), (1023, 1025), (49_990, 50_000), (5, 5)):
+        assert rans.part_of(payload, table, a, z, 16).tolist() == ids[a:z].tolist()
+    broken = bytearray(payload)
+    broken[-3] ^= 1  # in the words of the last part
+    assert rans.part_of(bytes(broken), table, 0, 1024, 16).tolist() == ids[:1024].tolist()
+    with pytest.raises(ValueError, match="damaged"):
+        rans.part_of(bytes(broken), table, 49_990, 50_000, 16)
+
+
+def test_chosen_documents_alone(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"text {k} " * (k % 50)) for k in range(400)], "doc_id long, text string")
+    rans.write(docs, PATH, str(tmp_path / "b"))
+    every = {r["doc_id"]: tuple(r) for r in rans.read(spark, str(tmp_path / "b")).collect()}
+    some = rans.read(spark, str(tmp_path / "b"), F.col("doc_id").isin(0, 17, 399)).collect()
+    assert {r["doc_id"]: tuple(r) for r in some} == {k: every[k] for k in (0, 17, 399)}
