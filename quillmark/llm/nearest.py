@@ -6,21 +6,22 @@ has an index of each. By pigeonhole, a code within Hamming distance r = 8 k + a
 of the first a + 1 substrings or at most k - 1 in one of the others, so probing those buckets finds every
 code within r. What is found is ranked by inner products of the original vectors in double precision.
 
-The radius belongs to the query: its 20th best score in the sample bounds the angle of better ones, and
-the binomial spread of the distances at that angle, with a margin set on the sample, gives r.
+The radius belongs to the query and is found once: its 20th best score in the sample bounds the angle of better ones, and
+the binomial spread of the distances at that angle, with a margin set on the sample, gives r. A query for which too little
+lies within it searches once more with the radius that takes in all codes.
 
 Vectors of one shard make up an index, queries stream past it, and the best of all shards are merged.
 Equal vectors are indexed once, with the smallest ids that a result can need.
 
 Defined results: vectors that are null, zero, or hold null or non-finite numbers take no part, nor do those of
-another length than the most frequent; equal scores go to the smaller id; repeated rows of one id are one candidate; a null id takes no part;
+another length than the most frequent; equal scores go to the smaller id; repeated rows of one id are one candidate, and of several vectors of one id the best counts; a null id takes no part;
 fewer candidates than asked for are all given; other columns aren't looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -134,7 +135,8 @@ def neighbours(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "v
     spark = table.sparkSession
     at = scratch(spark)
     kind = dict(table.dtypes)[id_col]
-    rows = table.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<float>").alias("v"), is_query.alias("is_query")).where("id is not null and v is not null and size(v) > 0")
+    vector = F.col(vector_col) if dict(table.dtypes)[vector_col] in ("array<float>", "array<double>") else F.col(vector_col).cast("array<double>")
+    rows = table.select(F.col(id_col).alias("id"), vector.alias("v"), is_query.alias("is_query")).where("id is not null and v is not null and size(v) > 0")
     lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     out = f"query_id {kind}, rank int, {id_col} {kind}, score double"
     if lengths is None:
@@ -151,9 +153,23 @@ def neighbours(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "v
     coder = fit(sample["id"].to_numpy(), np.stack(sample["v"].to_list()).astype(np.float64), math.sqrt(stats["m"]), k)
 
     shards = max(1, math.ceil(stats["n"] / SHARD))
-    data = classes.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("role"), "id", "v", "ids")
-    queries = rows.where("is_query").select("id", "v").distinct().select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("role"), "id", "v", F.lit(None).cast(f"array<{kind}>").alias("ids"))
-    both = data.unionByName(queries).repartition(max(parts(spark), 1), "shard").sortWithinPartitions("shard", "role", "id")
+    vectors = dict(rows.dtypes)["v"]
+
+    def radii(batches):
+        for b in batches:
+            x = b.column("v").flatten().to_numpy().reshape(b.num_rows, -1).astype(np.float64)
+            ids = b.column("id").to_numpy()
+            r = [coder.radius(x[c : c + 256], ids[c : c + 256], k) for c in range(0, len(x), 256)]
+            yield pa.record_batch([b.column("id"), b.column("v"), pa.array(np.concatenate(r) if r else [], pa.int32())], ["id", "v", "r"])
+
+    queries = staged(rows.where("is_query").select("id", "v").distinct().mapInArrow(radii, f"id {kind}, v {vectors}, r int"), f"{at}/queries")
+    bare = replace(coder, ids=coder.ids[:0], sample=coder.sample[:0])  # shards need no sample
+
+    def search(queries: DataFrame) -> DataFrame:
+        data = classes.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("role"), "id", "v", "ids", F.lit(0).alias("r"))
+        dealt = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("role"), "id", "v", F.lit(None).cast(f"array<{kind}>").alias("ids"), "r")
+        both = data.unionByName(dealt).repartitionById(shards, "shard").sortWithinPartitions("shard", "role", "id")
+        return both.mapInArrow(run, f"query_id {kind}, id {kind}, score double")
 
     def run(batches):
         shard, held, index = None, [], None
@@ -174,13 +190,14 @@ def neighbours(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "v
                 if index is None:
                     vectors = np.concatenate([h[0] for h in held])
                     ids = [i for h in held for i in h[1]]
-                    held, index = [], Index(coder, vectors)
+                    held, index = [], Index(bare, vectors)
+                r = part.column("r").to_numpy()
                 for c in range(0, z - a, 256):
-                    yield answered(part.column("id").to_numpy()[c : c + 256], x[c : c + 256], index, vectors, ids)
+                    yield answered(part.column("id").to_numpy()[c : c + 256], x[c : c + 256], r[c : c + 256], index, vectors, ids)
 
-    def answered(own, x, index, vectors, ids):
+    def answered(own, x, radii, index, vectors, ids):
         found = []
-        for q, v, code, r in zip(own.tolist(), x, coder.query_codes(x), coder.radius(x, own, k), strict=True):
+        for q, v, code, r in zip(own.tolist(), x, bare.query_codes(x), radii.tolist(), strict=True):
             at = index.within(code, r)
             score = vectors[at] @ v
             if len(at) > k + 1:
@@ -195,6 +212,17 @@ def neighbours(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "v
     from pyspark.sql.pandas.types import to_arrow_schema
 
     b_type = to_arrow_schema(classes.select("id").schema).field(0).type
-    best = both.mapInArrow(run, f"query_id {kind}, id {kind}, score double")
-    ranked = best.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(f"rank <= {k}")
-    return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
+    def ranked(found: DataFrame) -> DataFrame:
+        # one dealing by query does for both steps
+        best = found.repartition("query_id").groupBy("query_id", "id").agg(F.max("score").alias("score"))
+        return best.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(f"rank <= {k}")
+
+    first = staged(ranked(search(queries)), f"{at}/first")
+    enough = min(k, rows.select("id").distinct().count() - 1)
+    full = first.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("c")).where(F.col("c") >= enough)
+    short = staged(queries.join(full, "id", "left_anti").withColumn("r", F.lit(BITS)), f"{at}/short")
+    out = first
+    if not short.isEmpty():
+        again = ranked(search(short))
+        out = first.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(again)
+    return out.select("query_id", "rank", F.col("id").alias(id_col), "score")

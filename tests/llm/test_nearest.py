@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -75,3 +77,26 @@ def test_odd_rows(spark):
     assert found(df) == {0: [(60, 1.0), (5, 0.5)], 60: [(0, 1.0), (5, 0.5)]}
     assert nearest.neighbours(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
     assert found(df.where("vec_id = 40 or vec_id = 20")) == {}
+
+
+def test_double_vectors_keep_their_precision(spark):
+    rows = [(i, [1.0 + i * 1e-9, 2.0]) for i in range(0, 60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want, got = brute([i for i, _ in rows], np.array([v for _, v in rows]), [0, 20, 40]), found(df)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    assert all(abs(s - t) < 1e-15 for q in want for (_, s), (_, t) in zip(got[q], want[q], strict=True))
+
+
+def test_queries_that_find_too_little_search_again(spark, monkeypatch):
+    fit = nearest.fit
+    monkeypatch.setattr(nearest, "fit", lambda *args: replace(fit(*args), margin=-60.0))  # radii of nearly 0
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 16)).astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = found(df)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in brute(list(range(400)), x, range(0, 400, 20)).items()}
+
+
+def test_two_vectors_of_one_id_are_one_candidate(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.9, 0.0]), (2, [0.7, 0.0])]
+    assert found(spark.createDataFrame(rows, "vec_id long, embedding array<double>")) == {0: [(1, 0.9), (2, 0.7)]}
