@@ -33,12 +33,12 @@ def kept_lines(lines: DataFrame, ranges: DataFrame, on: list[str]) -> DataFrame:
 def headers_before(lines: DataFrame, starts: DataFrame, is_header: Column, on: list[str], most: int, at: str = "global_p_idx") -> DataFrame:
     """(on, start, header): the header line nearest before each start, with the lines that belong to it (up to ``most``), across pages.
 
-    ``starts``: on, ``at``. The lines of one header are those behind it up to the next blank or header.
+    ``starts``: on, ``at`` of numbered lines. The lines of one header are those behind it up to the next blank or header.
     """
-    w = W.partitionBy(*on).orderBy(at).rowsBetween(W.unboundedPreceding, 0)
-    numbered = lines.where("line_num is not null").withColumn("__h", F.last(F.when(is_header, F.col(at)), ignorenulls=True).over(w))
-    found = starts.join(numbered.select(*on, F.col(at).alias("__at"), "__h"), [*on]).where(F.col("__at") == F.col(at) - 1)
-    found = found.where("__h is not null").select(*on, F.col(at).alias("start"), F.col("__h").alias("header"))
+    upto = lambda last: F.last(F.when(is_header, F.col(at)), ignorenulls=True).over(W.partitionBy(*on).orderBy(at).rowsBetween(W.unboundedPreceding, last))
+    numbered = lines.where("line_num is not null").withColumns({"__h": upto(0), "__before": upto(-1)})
+    found = starts.join(numbered.where("__before is not null").select(*on, at, "__before"), [*on, at])
+    found = found.select(*on, F.col(at).alias("start"), F.col("__before").alias("header"))
     nth = F.row_number().over(W.partitionBy(*on, "__h").orderBy(at))
     own = numbered.where("__h is not null").withColumn("nth", nth).where(F.col("nth") <= most).select(*on, F.col("__h").alias("header"), F.col(at).alias("line_at"))
     return found.join(own, [*on, "header"]).where("line_at < start")

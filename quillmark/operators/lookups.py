@@ -46,6 +46,24 @@ def attach_balance(comparison: DataFrame, table: DataFrame, value: str = "balanc
     return rows.withColumns({"rounded": round_up(F.col(value)), "insert_eligible": eligible(F.col(value))})
 
 
+def preferred(tables: list[DataFrame], scope: list[str]) -> DataFrame:
+    """Rows of the first table that has any for their ``scope`` (an agency, say); tables behind it only fill in where it has none."""
+    ranked = None
+    for k, df in enumerate(tables):
+        one = df.withColumn("__rank", F.lit(k))
+        ranked = one if ranked is None else ranked.unionByName(one)
+    best = ranked.groupBy(*[F.col(c).alias(f"__s_{c}") for c in scope]).agg(F.min("__rank").alias("__best"))
+    same = F.col("__rank") == F.col("__best")
+    for c in scope:
+        same &= F.col(c).eqNullSafe(F.col(f"__s_{c}"))
+    return ranked.join(best, same, "left_semi").drop("__rank")
+
+
+def unmatched_sample(rows: DataFrame, order: list[str], n: int = 15, value: str = "balance") -> DataFrame:
+    """The first ``n`` records without a balance, for a report."""
+    return rows.where(F.col(value).isNull()).orderBy(*order).limit(n)
+
+
 def balance_summary(rows: DataFrame, value: str = "balance") -> DataFrame:
     v = F.col(value)
     return rows.agg(

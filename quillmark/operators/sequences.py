@@ -97,10 +97,6 @@ def first_positions(df: DataFrame, keys: list[str], position: list[str]) -> Data
     return df.groupBy(*keys).agg(F.min(F.struct(*position)).alias("p")).select(*keys, "p.*")
 
 
-def last_positions(df: DataFrame, keys: list[str], position: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.max(F.struct(*position)).alias("p")).select(*keys, "p.*")
-
-
 def distinct_in_order(df: DataFrame, scope: list[str], keys: list[str], position: list[str], name: str = "rank") -> DataFrame:
     """Distinct keys of each scope, ranked by where they come first."""
     first = first_positions(df, [*scope, *keys], position)

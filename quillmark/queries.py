@@ -75,9 +75,7 @@ select pr, cast(count(p.k) filter (p.k is not null) as bigint) prior_rows, count
 from p full join c using (k, c, pr) group by pr""")
 def version_balance(spark, sf_dir):
     p, c = order_versions(spark, sf_dir)
-    told = R.compare_versions(p, c, ["k", "c", "pr"], amount="a")
-    s = F.col("status")
-    return told.groupBy("pr").agg(F.count_if(s != "new").alias("prior_rows"), F.count_if(s != "dropped").alias("current_rows"))
+    return R.in_out_balance(R.compare_versions(p, c, ["k", "c", "pr"], amount="a"), ["pr"])
 
 
 LINE_VERSIONS = """
@@ -205,6 +203,22 @@ def lookup_summary_all(spark, sf_dir):
     return L.balance_summary(L.attach_balance(*balances(spark, sf_dir, "true", "true")))
 
 
+@query(LOOKUP_ALL + "select rec_idx, agency, approp_id, chapter_year, approp_amount from r where rec_idx in (select rec_idx from o where balance is null) order by rec_idx limit 15")
+def unmatched_sample(spark, sf_dir):
+    """The report of records without a balance shows 15 of them."""
+    rows = L.attach_balance(*balances(spark, sf_dir, "true", "true"))
+    return L.unmatched_sample(rows, ["rec_idx"]).select("rec_idx", "agency", "approp_id", "chapter_year", "approp_amount")
+
+
+@query("""
+with s as (select cast(s_nationkey as varchar) agency, s_suppkey id, cast(floor(s_acctbal) as bigint) balance from supplier where s_acctbal > 5000), c as (select cast(c_nationkey as varchar) agency, c_custkey id, cast(floor(c_acctbal) as bigint) balance from customer)
+select agency, id, balance from s union all select agency, id, balance from c where agency not in (select agency from s)""")
+def lookup_source_priority(spark, sf_dir):
+    """Nations whose suppliers have large balances use those, the others fall back on their customers."""
+    rows = lambda name, c: table(spark, sf_dir, name).select(F.col(f"{c}_nationkey").cast("string").alias("agency"), F.col("s_suppkey" if c == "s" else "c_custkey").alias("id"), F.floor(f"{c}_acctbal").cast("bigint").alias("balance"), F.col(f"{c}_acctbal").alias("__a"))
+    return L.preferred([rows("supplier", "s").where("__a > 5000").drop("__a"), rows("customer", "c").drop("__a")], ["agency"])
+
+
 LEARNED = """
 with k as (select c_mktsegment agency, o_orderkey id, cast(year(o_orderdate) as int) y, cast(round(o_totalprice) as bigint) a from orders join customer on o_custkey=c_custkey),
 c as (select cast(c_nationkey % 7 as varchar) code, o_orderkey id, cast(year(o_orderdate) as int) y, cast(round(o_totalprice) as bigint) a from orders join customer on o_custkey=c_custkey where o_orderkey % 2 = 0),
@@ -438,6 +452,46 @@ def anchor_cascade(spark, sf_dir):
     return out.select("k", anchor.alias("a")).select("k", "a.*")
 
 
+ANCHORS = """
+with p as (select o_custkey // 10 d, o_orderpriority pr, o_orderstatus f, cast(year(o_orderdate) as int) y, o_orderkey k, row_number() over (partition by o_custkey // 10 order by o_orderpriority, o_orderstatus, year(o_orderdate) * (1 - 2 * (o_custkey // 10 % 2)), o_orderkey) pos from orders),
+c as (select *, 100 * ((cp - 1) // 10) + (cp - 1) % 10 + 1 v from (select *, row_number() over (partition by d order by pos) cp from p
+  where k % 3 <> 0 and not (d % 3 = 0 and pr like '3%') and not (d % 5 = 2 and pr >= '4') and not (f = 'O' and (d + y) % 2 = 0) and not (f = 'F' and d % 7 < 3) and not (y = 1996 and k % 2 = 0))),
+e as (select d, pr, f, y, min(v) a, max(v) z from c group by 1, 2, 3, 4), fu as (select d, pr, f, min(v) v from c group by 1, 2, 3), g as (select d, pr, min(v) v from c group by 1, 2),
+w as (select p.*, c.k is null gone, last_value(c.v ignore nulls) over (partition by p.d, p.pr, p.f order by p.pos rows between unbounded preceding and 1 preceding) r1 from p left join c on p.k = c.k),
+r as (select w.*, (select a from e where e.d = w.d and e.pr = w.pr and e.f = w.f and e.y = w.y) r2, (select arg_min(z, y) from e where e.d = w.d and e.pr = w.pr and e.f = w.f and e.y > w.y) r3,
+  (select arg_min(v, f) from fu where fu.d = w.d and fu.pr = w.pr and fu.f > w.f) r4, (select v from fu where fu.d = w.d and fu.pr = w.pr and fu.f = w.f) r5,
+  (select v from g where g.d = w.d and g.pr = w.pr) r6, (select arg_min(v, pr) from g where g.d = w.d and g.pr > w.pr) r7 from w where gone),
+x as (select k, case when r1 is not null then 'continued_same_fund' when r2 is not null then 'chyr_header' when r3 is not null then 'after_newer_chyr' when r5 is null and r4 is not null then 'before_next_fund'
+  when r5 is not null then 'fund_header' when r6 is not null then 'program_header' when r7 is not null then 'before_next_program' else 'doc_start' end kind,
+  coalesce(r1, r2, r3, case when r5 is null then r4 end, r5, r6, r7, 0) v from r)
+"""
+
+
+def anchored(spark, sf_dir):
+    """Orders as records of documents of ten customers each, with the newest year first in every other one; a second version drops parts of most."""
+    o = table(spark, sf_dir, "orders").select(F.floor(F.col("o_custkey") / 10).alias("d"), F.lit("reapprop").alias("source"), F.col("o_orderpriority").alias("program"), F.col("o_orderstatus").alias("fund"), F.year("o_orderdate").alias("chapter_year"), F.lit(0).alias("amending_year"), F.col("o_orderkey").alias("rec_idx"))
+    prior = S.positions(o, ["d"], ["program", "fund", F.col("chapter_year") * (1 - 2 * (F.col("d") % 2)), "rec_idx"])
+    k, d, y, pr, f = (F.col(c) for c in ("rec_idx", "d", "chapter_year", "program", "fund"))
+    left_out = (k % 3 == 0) | ((d % 3 == 0) & pr.startswith("3")) | ((d % 5 == 2) & (pr >= "4")) | ((f == "O") & ((d + y) % 2 == 0)) | ((f == "F") & (d % 7 < 3)) | ((y == 1996) & (k % 2 == 0))
+    current = S.positions(prior.where(~left_out), ["d"], ["position"], "n")
+    page, line = F.floor((F.col("n") - 1) / 10).cast("int"), ((F.col("n") - 1) % 10 + 1).cast("int")
+    current = current.select("d", "source", "program", "fund", "chapter_year", "amending_year", "rec_idx", page.alias("first_page"), line.alias("first_line"), page.alias("last_page"), line.alias("last_line"))
+    matches = current.select(F.col("rec_idx").alias("prior_idx"), F.col("rec_idx").alias("current_idx"))
+    dropped = prior.join(current.select("rec_idx"), "rec_idx", "left_anti")
+    return A.anchors(dropped, prior, current, matches, ["d"], ["program", "fund"], ["chapter_year", "amending_year"])
+
+
+@query(ANCHORS + "select k, kind, cast(v // 100 as int) page, cast(case when kind in ('continued_same_fund', 'after_newer_chyr', 'doc_start') then v % 100 else greatest(v % 100 - 1, 0) end as int) line from x")
+def anchor_rules(spark, sf_dir):
+    """All eight rules, each of which fires."""
+    return anchored(spark, sf_dir).select(F.col("rec_idx").alias("k"), "anchor.*")
+
+
+@query(ANCHORS + "select kind, count(*) n from x group by 1")
+def anchor_rule_counts(spark, sf_dir):
+    return anchored(spark, sf_dir).groupBy(F.col("anchor.kind").alias("kind")).agg(F.count("*").alias("n"))
+
+
 @query("""
 with o as (select o_orderkey, cast(o_custkey % 40 as int) first_page, cast(o_orderkey % 40 as int) - 1 chyr_page, cast(o_orderkey % 23 as int) - 1 fund_page, o_orderstatus='F' nc, o_orderpriority like '1%' nf from orders)
 select o_orderkey, least(first_page, case when nc and chyr_page between 0 and first_page-1 then chyr_page else first_page end, case when nf and fund_page between 0 and first_page-1 then fund_page else first_page end) start_page from o""")
@@ -536,6 +590,28 @@ def pattern_extract(spark, sf_dir):
     )
 
 
+@query(DOC_LINES + "select doc_id, count(*) n, cast(sum(length(raw)) as bigint) chars from d where pg between 1 and 2 group by 1")
+def page_slice(spark, sf_dir):
+    d = D.page_slice(doc_lines(spark, sf_dir), 1, 2)
+    return d.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("raw_text")).cast("bigint").alias("chars"))
+
+
+@query("select n_name as name, count(*) customers, 3 n_lines, 1 first_page from nation join customer on n_nationkey = c_nationkey group by 1")
+def document_scan(spark, sf_dir):
+    """A paged document for each nation is written to a folder as a file of its own, then the folder is read."""
+    from .sources.stages import shared_path
+
+    rows = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "customer"), F.col("n_nationkey") == F.col("c_nationkey")).groupBy("n_name").agg(F.count("*").alias("n"))
+    html = F.concat(F.lit('<div class="page"><p>AGENCY</p><p>  1  '), "n_name", F.lit("</p><p>  2  "), F.col("n").cast("string"), F.lit("</p></div>"))
+    at = shared_path(spark)
+    rows.select(html.alias("value")).write.option("maxRecordsPerFile", 1).text(at)
+    docs = D.scan(spark, at)
+    lines = D.paged_lines(docs).join(docs.select("doc_id", D.first_page_of(F.col("file_name")).alias("first_page")), "doc_id")
+    value = lambda n: F.max(F.when(F.col("line_num") == n, F.col("text")))
+    out = lines.groupBy("doc_id").agg(value(1).alias("name"), value(2).cast("bigint").alias("customers"), F.count("*").alias("n_lines"), F.min("first_page").alias("first_page"))
+    return out.drop("doc_id")
+
+
 KEPT = DOC_LINES + """
 , s as (select doc_id, min(n) f, min(n) + quality * 25 + toxic * 30 l, case when toxic=1 then 'appropriation' else 'reapprop' end src, 1000 + doc_id oa, 2000 + doc_id na from (select doc_id, 3 + doc_id % 9 n, quality, toxic from labels) group by doc_id, quality, toxic),
 r as (select doc_id, cast(f//20 as int) fp, cast(f%20 as int)+1 fl, cast(l//20 as int) lp, cast(l%20 as int)+1 ll, src, oa, na from s),
@@ -669,6 +745,17 @@ def audit_flags(spark, sf_dir):
     return Q.flags(audited(spark, sf_dir), ["doc_id"], ["global_p_idx"])
 
 
+@query(AUDIT + """
+, fl as (select g.doc_id, list_filter([case when bool_or(kind in ('keep','edit') and contains(lower(old), 'total of sub-schedule')) then 'subschedule-in-kept' end, case when bool_or(kind in ('keep','edit') and regexp_matches(old, '^\\s*-{5,}')) then 'separator-in-kept' end,
+  case when any_value(sb.f) then 'struck-between-kept' end, case when not bool_or(kind in ('keep','edit')) then 'empty-insert' end, case when not bool_or(kind='struck') then 'no-strikes' end,
+  case when doc_id % 3 = 0 then 'missing-chyr-header' end, case when doc_id % 4 = 0 then 'missing-fund-header' end], lambda x: x is not null) tags from g left join sb using (doc_id) group by 1)
+select doc_id, tags from fl""")
+def audit_flags_all(spark, sf_dir):
+    """All seven tags; every third document would need a chapter header and every fourth a fund header, which none of these texts has."""
+    needs = table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 3 == 0).alias("needs_chapter_header"), (F.col("doc_id") % 4 == 0).alias("needs_fund_header"))
+    return Q.flags(audited(spark, sf_dir), ["doc_id"], ["global_p_idx"], needs)
+
+
 @query(FLAGS + "select tag, count(*) n, list_sort(list(doc_id)) labels from (select doc_id, unnest(tags) tag from fl) group by 1")
 def flag_summary(spark, sf_dir):
     return Q.flag_summary(audit_flags(spark, sf_dir), "doc_id")
@@ -796,7 +883,7 @@ from .plans import placing as PL  # noqa: E402
 from .plans import render as RD  # noqa: E402
 
 ITEMS = """
-with i as (select 'bill' || c_nationkey doc_id, upper(c_mktsegment) || ' PROGRAM' program, case o_orderstatus when 'F' then 'General Fund' when 'O' then 'Special Revenue Funds - Other' when 'P' then 'Enterprise Funds' else 'Fiduciary Funds' end fund,
+with i as (select 'bill' || c_nationkey || '-' || (c_custkey // 1000) doc_id, upper(c_mktsegment) || ' PROGRAM' program, case o_orderstatus when 'F' then 'General Fund' when 'O' then 'Special Revenue Funds - Other' when 'P' then 'Enterprise Funds' else 'Fiduciary Funds' end fund,
 cast(year(o_orderdate) as int) chapter_year, lpad(cast(o_orderkey % 100000 as varchar), 5, '0') approp_id, cast(round(o_totalprice) as bigint) amount, o_orderkey k from orders join customer on o_custkey=c_custkey)
 """
 
@@ -850,11 +937,13 @@ def bill_plan(spark, sf_dir):
 
     i = items(spark, sf_dir)
     prior = EX.carried_records(D.paged_lines(RD.reapprop_bill(i)))
-    current = EX.carried_records(D.paged_lines(RD.reapprop_bill(i.where("k % 7 <> 0 and (k % 3 <> 0 or fund <> 'General Fund')"))))
+    later = staged(D.paged_lines(RD.reapprop_bill(i.where("k % 7 <> 0 and (k % 3 <> 0 or fund <> 'General Fund')"))))
+    current = EX.carried_records(later)
     number = lambda df: df.withColumn("rec_idx", F.col("approp_id").cast("bigint") * 10_000_000_000_000 + F.pmod(F.xxhash64(*RECORD_COLS), F.lit(10_000_000_000_000)))
     prior, current = staged(number(prior)), staged(number(current))
     balances = i.where("k % 10 <> 3").select(F.lit("EDUCATION DEPARTMENT").alias("agency"), "approp_id", "chapter_year", F.col("amount").alias("approp_amount"), F.col("amount").alias("reapprop_amount"), F.col("amount").cast("double").alias("balance"), F.col("k").alias("row_idx"))
-    return PL.plan(prior, current, balances)
+    heads = staged(EX.header_positions(later))
+    return PL.plan(prior, current, balances, fund_headers=heads.where("fund is not null"), program_headers=heads.where("fund is null").drop("fund"))
 
 
 @query(ITEMS + """
@@ -864,6 +953,22 @@ def bill_versions_to_plan(spark, sf_dir):
     return PL.summary(bill_plan(spark, sf_dir), ["doc_id", "program", "fund"], F.col("rounded")).drop("labels")
 
 
+@query(ITEMS + """
+, d as (select * from i where k % 7 = 0 or (k % 3 = 0 and fund = 'General Fund')), s as (select *, cast(ceil(amount / 1000.0) * 1000 as bigint) rounded from d where k % 10 <> 3 and amount >= 1000)
+select doc_id, count(*) ids, count(*) filter (rounded <> amount) replaced, cast(sum(rounded) filter (rounded <> amount) as bigint) new_total, 0 bad_labels from s group by 1""")
+def bill_edits(spark, sf_dir):
+    """From the plan to edited lines, with their labels placed: every survivor's line stays, its amount is the rounded balance."""
+    p = bill_plan(spark, sf_dir)
+    lines = D.paged_lines(RD.reapprop_bill(items(spark, sf_dir)))
+    script = PL.edits(p, lines)
+    stays, replaced = F.col("op").isin("keep", "replace"), F.col("op") == "replace"
+    out = script.groupBy("doc_id").agg(F.count_if(stays & F.col("new").rlike(r"\([0-9]{5}\)")).alias("ids"), F.count_if(replaced).alias("replaced"), F.sum(F.when(replaced, E.carried_amount(F.col("new")))).alias("new_total"))
+    # a label must stand before the first line that is kept
+    flags = Q.flags(script.withColumn("kind", Q.line_kind()), ["doc_id", "label"], ["global_p_idx"], p.groupBy("doc_id", "label").agg(F.bool_or("needs_chapter_header").alias("needs_chapter_header"), F.bool_or("needs_fund_header").alias("needs_fund_header")))
+    bad = flags.where("arrays_overlap(tags, array('empty-insert', 'missing-chyr-header', 'missing-fund-header'))").groupBy("doc_id").agg(F.count("*").alias("bad_labels"))
+    return out.join(bad, "doc_id", "left").fillna(0, ["bad_labels"])
+
+
 @query()
 def bill_plan_labels(spark, sf_dir):
     """Labels of the plan with their anchors; tests hold them against a walk over the records."""
