@@ -5,11 +5,12 @@ their features gives the weights of a linear score. The decision threshold is a
 training scores (the share of bad texts); ``score`` is the logistic of the distance to it, so 0.5
 lies at the threshold.
 
-Only features of the whole text enter a score. The fit reads at most ``max_rows`` labelled texts
-(those with the smallest id hashes), everything else covers all rows.
+Only features of the whole text enter a score: counts of its bytes, words and lines, its words and its runs of three
+bytes, both hashed. The fit reads at most ``max_rows`` labelled texts (those with the smallest id hashes), about 600 bytes
+of features each, and at most ``MAX_PAIRS`` preferences; everything else covers all rows.
 
 Defined results: null and empty texts have zero features and a score like any other; equal texts
-have equal scores; several labels of one id are averaged, null labels left out; without labels of both kinds the
+have equal scores; several labels of one id are averaged, null labels left out; of several texts of one id the fit reads one; without labels of both kinds the
 score is 0.5 for every text; a null id is never held out; other columns aren't looked at.
 """
 
@@ -25,7 +26,11 @@ from pyspark.sql import functions as F
 from . import features
 
 #: Most labelled texts that a fit reads, and preference pairs that it draws from them.
-MAX_ROWS, MAX_PAIRS = 20_000, 200_000
+MAX_ROWS, MAX_PAIRS = 20_000, 50_000
+#: Ridge of the counts, and of the many hashed inputs, each of which tells little; chosen by folds of the rows to learn from.
+RIDGE = np.where(np.arange(len(features.NAMES)) < len(features.COUNTS), 1e-3, 1e-2)
+#: Pairs whose differences are held at once.
+PAIRS_AT_ONCE = 8192
 
 
 @dataclass(frozen=True)
@@ -46,37 +51,48 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def fit_pairs(x: np.ndarray, good: np.ndarray, max_pairs: int = MAX_PAIRS, ridge: float = 1e-3, steps: int = 30) -> Ranker:
-    """Newton steps on the mean log loss of sigmoid(weights . (better - worse)) with a ridge."""
+def drawn_pairs(good: np.ndarray, max_pairs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the better and the worse text of each preference: all pairs if there are at most ``max_pairs``."""
+    better, worse = np.flatnonzero(good), np.flatnonzero(~good)
+    if len(better) * len(worse) <= max_pairs:
+        return np.repeat(better, len(worse)), np.tile(worse, len(better))
+    rng = np.random.default_rng(0)
+    return rng.choice(better, max_pairs), rng.choice(worse, max_pairs)
+
+
+def fit_pairs(x: np.ndarray, good: np.ndarray, max_pairs: int = MAX_PAIRS, ridge: float | np.ndarray = 1e-3, steps: int = 30) -> Ranker:
+    """Newton steps on the mean log loss of sigmoid(weights . (better - worse)) with a ridge, one for all inputs or one for each."""
     d = x.shape[1] if x.ndim == 2 else len(features.NAMES)
     if not len(x) or good.all() or not good.any():
         return Ranker(np.zeros(d), np.ones(d), np.zeros(d), 0.0, 1.0)
     mean, scale = x.mean(0), x.std(0)
     scale[scale < 1e-9] = 1.0
     z = (x - mean) / scale
-    rng = np.random.default_rng(0)
-    better, worse = np.flatnonzero(good), np.flatnonzero(~good)
-    n = min(max_pairs, len(better) * len(worse))
-    diff = z[rng.choice(better, n)] - z[rng.choice(worse, n)]
+    better, worse = drawn_pairs(good, max_pairs)
     w = np.zeros(d)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(diff @ w, -40, 40)))
-        step = np.linalg.solve((diff * (p * (1 - p))[:, None]).T @ diff / n + ridge * np.eye(d), diff.T @ (1 - p) / n - ridge * w)
+        slope, curve = -ridge * w, np.diag(np.broadcast_to(ridge, d).astype(float))
+        for a in range(0, len(better), PAIRS_AT_ONCE):
+            diff = z[better[a : a + PAIRS_AT_ONCE]] - z[worse[a : a + PAIRS_AT_ONCE]]
+            p = 1 / (1 + np.exp(-np.clip(diff @ w, -40, 40)))
+            slope += diff.T @ (1 - p) / len(better)
+            curve += (diff * (p * (1 - p))[:, None]).T @ diff / len(better)
+        step = np.linalg.solve(curve, slope)
         w += step
         if np.abs(step).max() < 1e-9:
             break
     s = z @ w
-    threshold = float(np.quantile(s, (len(worse) - 0.5) / max(1, len(s) - 1), method="linear"))
+    threshold = float(np.quantile(s, ((~good).sum() - 0.5) / max(1, len(s) - 1), method="linear"))
     return Ranker(mean, scale, w, threshold, max(float(s.std()) / 4, 1e-9))
 
 
 def _feature_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
         for b in batches:
-            x = [features.of_text(t).tolist() for t in b.column(1).to_pylist()]
-            yield pa.record_batch([b.column(0), pa.array(x, pa.list_(pa.float64()))], [id_col, "x"])
+            x = [features.of_text(t).astype("<f4").tobytes() for t in b.column(1).to_pylist()]
+            yield pa.record_batch([b.column(0), pa.array(x, pa.binary())], [id_col, "x"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, x array<double>")
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, x binary")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_ROWS) -> Ranker:
@@ -87,9 +103,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     if not y:
         return fit_pairs(np.zeros((0, len(features.NAMES))), np.zeros(0, bool))
     ids = docs.sparkSession.createDataFrame([(i,) for i in sorted(y)], f"`{id_col}` {dict(labels.dtypes)[id_col]}")
-    # at most max_rows ids, so the broadcast is bounded
-    rows = _feature_rows(docs.join(F.broadcast(ids), id_col, "left_semi"), id_col, text_col).orderBy(id_col, "x").limit(2 * max_rows).collect()
-    return fit_pairs(np.array([r["x"] for r in rows]).reshape(len(rows), len(features.NAMES)), np.array([y[r[id_col]] for r in rows], bool))
+    # at most max_rows ids, so the broadcast is bounded, and one row for each of them comes back
+    rows = _feature_rows(docs.join(F.broadcast(ids), id_col, "left_semi"), id_col, text_col).groupBy(id_col).agg(F.min("x").alias("x")).orderBy(id_col).collect()
+    x = np.frombuffer(b"".join(r["x"] for r in rows), "<f4").astype(float).reshape(len(rows), len(features.NAMES))
+    return fit_pairs(x, np.array([y[r[id_col]] for r in rows], bool), ridge=RIDGE)
 
 
 def score(docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
