@@ -24,7 +24,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.extract(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, odds=html.fit(pages))
 
 
 def pii_key(spark: SparkSession) -> str:

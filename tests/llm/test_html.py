@@ -1,9 +1,13 @@
 import html as h
 import itertools
+import math
 import random
 import re
+import time
 
-from quillmark.llm import html
+import numpy as np
+
+from quillmark.llm import html, queries
 
 SF = "/root/testdata/sf0.01"
 
@@ -89,3 +93,61 @@ def test_head_without_end_and_unclosed_silent_elements():
 def test_formulas_stay_in_their_sentence():
     page = "<article><p>The sum of both is <math><mi>a</mi><mo>+</mo><mi>b</mi></math>, as we have seen in the text above.</p></article>"
     assert html.main_text(page) == "The sum of both is a+b, as we have seen in the text above."
+
+
+def test_nesting_takes_time_in_proportion():
+    deep = "".join(f"<div>Some text of a block, number {k}." for k in range(20_000))
+    began = time.time()
+    assert html.main_text("<article>" + deep).count("\n") == 19_999
+    assert time.time() - began < 20
+    assert html.main_text("<div>" * 100_000 + "A sentence of a paragraph that goes on for a while, as they do.").startswith("A sentence")
+
+
+def test_remarks_of_readers_and_notices_without_telling_names():
+    text = "A sentence of a paragraph that goes on for a while, as they do."
+    page = f"""<body><div class=x1>We use cookies to make this site work. By going on you accept cookies of ours and of our partners.</div>
+    <article><h1>Title of it</h1><p>{text}</p><p>{text}</p></article><div class="user-remarks"><p>I do not think that any of this is right, as I said before.</p></div></body>"""
+    assert html.main_text(page).split("\n") == ["Title of it", text, text]
+
+
+def test_fitted_odds():
+    """No slope of the loss at the fitted weights, by plain loops; the loss with its ridge has one minimum."""
+    rng = random.Random(2)
+    x = [[rng.gauss(0, 1), rng.gauss(3, 2)] for _ in range(60)]
+    y = [a + rng.gauss(0, 1) > 0 for a, _ in x]
+    odds = html.fit_odds(np.array(x), np.array(y))
+    mean, scale = np.mean(x, 0), np.std(x, 0)
+    w = [*(odds.weights * scale), odds.bias + mean @ odds.weights]
+    slope = [1e-2 * v for v in w]
+    for row, content in zip(x, y, strict=True):
+        z = [*((row - mean) / scale), 1.0]
+        p = 1 / (1 + math.exp(-sum(a * b for a, b in zip(w, z, strict=True))))
+        share = 0.5 / (sum(y) if content else len(y) - sum(y))
+        slope = [s - share * (content - p) * v for s, v in zip(slope, z, strict=True)]
+    assert max(map(abs, slope)) < 1e-8
+    assert html.fit_odds(np.array(x), np.ones(60, bool)) is None
+
+
+def test_fit_reads_a_bounded_sample_and_tells_unmarked_pages_apart(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    odds = html.fit(pages, max_pages=100)
+    rest = [r["html"] for r in pages.collect()]
+    right = [np.mean((odds.of(x) > 0) == y) for x, y in map(html.marked_blocks, rest)]
+    assert np.mean(right) > 0.95
+    # the same pages without their marks: the odds do no harm where the points have less to go by
+    bare = [re.sub(r"</?(?:article|nav|footer|aside|header)>", lambda m: "</div>" if "/" in m[0] else "<div>", p) for p in rest]
+    want = [article_by_tags(p).split("\n") for p in rest]
+
+    def wrong(odds):
+        return sum(len(set(w) ^ set(html.main_text(p, odds).split("\n"))) for p, w in zip(bare, want, strict=True))
+
+    assert wrong(odds) <= wrong(None)
+    assert html.fit(pages.where("false")) is None
+    assert html.fit(spark.createDataFrame([(1, "u", "<p>No marks here"), (2, None, None)], "page_id long, url string, html string")) is None
+    assert html.fit(pages.union(pages), max_pages=100).weights.tolist() == odds.weights.tolist()
+
+
+def test_query_on_the_whole_table(spark):
+    got = {r["page_id"]: r["text"] for r in queries.op2_main_text(spark, SF).collect()}
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    assert len(got) == len(rows) and all(got[r["page_id"]] == article_by_tags(r["html"]) for r in rows)
