@@ -41,6 +41,12 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` doesn't have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    return next(c for c in (stem, *(f"{stem}_{k}" for k in range(len(taken) + 1))) if c.lower() not in taken)
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -151,7 +151,9 @@ def plan(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "tex
     return out
 
 
-def mixed(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", tokens: Column | None = None) -> DataFrame:
+def mixed(
+    docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", tokens: Column | None = None, weight_col: str = "mix_weight", at_col: str = "mix_at"
+) -> DataFrame:
     """``docs`` with ``mix_weight`` (of the source) and ``mix_at``: a place in [0, 1] for each copy that is drawn.
 
     ``tokens``: the documents' token counts, if they are to be other than words.
@@ -170,4 +172,4 @@ def mixed(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "te
     whole = F.when(tokens > 0, whole).otherwise(F.array(place(mix.seed, 0, key)))
     last = place(mix.seed, -1, key)
     partly = F.when((tokens > 0) & (last <= F.col(names["cut"])), F.array((passes * tokens + F.least(last / F.greatest(F.col(names["cut"]), F.lit(1e-12)), F.lit(1.0)) * rest) / drawn)).otherwise(F.array().cast("array<double>"))
-    return out.withColumns({"mix_weight": F.col(names["weight"]), "mix_at": F.concat(whole, partly)}).drop(*names.values())
+    return out.withColumns({weight_col: F.col(names["weight"]), at_col: F.concat(whole, partly)}).drop(*names.values())

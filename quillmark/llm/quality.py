@@ -109,8 +109,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     return fit_pairs(x, np.array([y[r[id_col]] for r in rows], bool), ridge=RIDGE)
 
 
-def score(docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and its ``quality_score``."""
+def score(docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col: str = "text", score_col: str = "quality_score") -> DataFrame:
+    """All columns of ``docs`` and its score."""
 
     @F.pandas_udf("double")
     def of(texts):
@@ -119,7 +119,7 @@ def score(docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col: str
         x = np.array([features.of_text(t) for t in texts]).reshape(len(texts), len(features.NAMES))
         return pd.Series(ranker.scores(x))
 
-    return docs.withColumn("quality_score", of(F.col(text_col)))
+    return docs.withColumn(score_col, of(F.col(text_col)))
 
 
 def classify(docs: DataFrame, labels: DataFrame, **names: str) -> DataFrame:

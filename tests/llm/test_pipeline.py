@@ -47,4 +47,26 @@ def test_odd_rows(spark):
     for name, stage in cp.STAGES:
         assert stage(spark, docs.where("false"), SF).count() == 0, name
         assert stage(spark, docs, SF).count() > 0, name
-    assert cp.without_near_duplicates(spark, docs, SF).count() == 5 and neardup.near_duplicates(docs).count() == 5
+    left = cp.without_near_duplicates(spark, docs, SF).collect()
+    assert sorted(str(r["doc_id"]) for r in left) == ["1", "2", "3", "None"] and neardup.near_duplicates(docs).count() == 5
+
+
+def test_near_duplicates_without_ids_and_with_repeated_ones(spark):
+    words = [f"w{k}" for k in range(60)]
+    near, other = " ".join(words), " ".join(["new", *words[1:]])
+    rows = [(None, near, 0), (7, near, 1), (None, other, 2), (7, near, 3), (4, other, 4), (None, "quite another text of a few words", 5), (None, "quite another text of a few words", 6), (None, "", 7), (None, None, 8), (9, None, 9), (9, None, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_0 long")
+    left = cp.without_near_duplicates(spark, docs, SF)
+    assert left.columns == docs.columns
+    got = sorted(r["row_0"] for r in left.collect())
+    assert got[0] == 4 and len(got) == 6 and got[1] in (5, 6) and got[2:] == [7, 8, 9, 10]
+
+
+def test_clashing_names_pass_through(spark):
+    docs = table(spark, SF, "documents").limit(200).selectExpr("*", "'x' quality_score", "'y' mix_at", "'z' Row", "'w' mix_weight")
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        r = out.first()
+        assert (r["quality_score"], r["mix_at"], r["Row"], r["mix_weight"]) == ("x", "y", "z", "w"), name
+    assert cp.STAGES[-1][1](spark, docs, SF).count() == 200
