@@ -1,4 +1,9 @@
-"""Five stages from raw documents to token ids; each is written as Parquet and read again before the next."""
+"""Five stages from raw documents to token ids; each is written as Parquet and read again before the next.
+
+Defined results: null and empty texts have a score like any other and are no near duplicates of anything; of repeated rows
+one stays; null sources are a source of their own; empty tables give empty tables; other columns are kept, whatever their
+names, but that ``n_chars`` follows the texts.
+"""
 
 from __future__ import annotations
 
@@ -15,13 +20,22 @@ MIX = mixing.Mix(max_repeats=1.5)
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold of the ranking."""
     ranker = quality.fit(docs, common.table(spark, sf_dir, "labels"))
-    return quality.score(docs, ranker).where("quality_score >= 0.5").select(docs.columns)
+    score = common.free_name(docs, "quality_score")
+    return quality.score(docs, ranker, score_col=score).where(F.col(score) >= 0.5).select(docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; rows without an id stay."""
-    gone = neardup.near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near duplicates: that with the smallest id, rows without an id last.
+
+    Rows are compared by numbers of their own, so repeated ids and rows without one are told apart; texts without words all stay.
+    """
+    row = common.free_name(docs, "row")
+    # numbered once, in a written table, so that a lost task can't number rows anew
+    rows = common.staged(docs.withColumn(row, F.monotonically_increasing_id()), f"{common.scratch(spark)}/rows")
+    groups = neardup.near_duplicates(rows, row).select(row, "component_id")
+    ids = rows.select(row, F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"))
+    kept = groups.join(ids, row).groupBy("component_id").agg(F.min(F.struct("no_id", "id", row)).alias("first")).select(f"first.{row}")
+    return rows.join(kept, row, "left_semi").select(docs.columns)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,9 +46,10 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies as the mixture draws them, in the order of their places in it."""
-    drawn = mixing.mixed(docs, MIX).withColumn("mix_at", F.explode("mix_at"))
+    at, weight = common.free_name(docs, "mix_at"), common.free_name(docs, "mix_weight")
+    drawn = mixing.mixed(docs, MIX, at_col=at, weight_col=weight).withColumn(at, F.explode(at))
     n = common.parts(spark)
-    return drawn.repartitionByRange(n, "mix_at").sortWithinPartitions("mix_at").select(docs.columns)
+    return drawn.repartitionByRange(n, at).sortWithinPartitions(at).select(docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
