@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, edits, fingerprint, html, mixing, nearest, neardup, oracles, pii, quality, rans
+from . import align, bpe, centroids, edits, fingerprint, html, mixing, nearest, neardup, oracles, pii, quality, rans, repeats
 from .common import scratch, table
 
 
@@ -70,5 +70,17 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_main_text": op2_main_text, "op3_pii": op3_pii, "op4_mixing": op4_mixing, "op5_minhash": op5_minhash, "op6_rans": op6_rans, "op7_fingerprints": op7_fingerprints, "op8_nearest": op8_nearest, "op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe}
-ORACLES = {"op2_main_text": oracles.OP2, "op5_minhash": oracles.OP5}
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_main_text": op2_main_text, "op3_pii": op3_pii, "op4_mixing": op4_mixing, "op5_minhash": op5_minhash, "op6_rans": op6_rans, "op7_fingerprints": op7_fingerprints, "op8_nearest": op8_nearest, "op9_quality": op9_quality, "op10_byte_bpe": op10_byte_bpe, "op11_clusters": op11_clusters, "op12_repeats": op12_repeats, "op13_alignment": op13_alignment}
+ORACLES = {"op2_main_text": oracles.OP2, "op5_minhash": oracles.OP5, "op11_clusters": oracles.clusters(), "op12_repeats": oracles.OP12}
