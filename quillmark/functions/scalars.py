@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import html.entities
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,3 +92,42 @@ def alike(a: Column | str, b: Column | str) -> Column:
         return pd.Series([difflib.SequenceMatcher(None, (p or "")[:PREFIX], (q or "")[:PREFIX]).ratio() for p, q in zip(x, y, strict=True)], dtype="float64")
 
     return ratio(a, b)
+
+
+REFERENCE = r"&(?:#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z][a-zA-Z0-9]*);?"
+
+
+def code_point(n: Column) -> Column:
+    """The character of a code point."""
+    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+
+
+def _lookup(d: dict[str, str]) -> Column:
+    """A map as one literal."""
+    return F.from_json(F.lit(json.dumps(d)), "map<string,string>")
+
+
+def unescaped(text: Column) -> Column:
+    """Character references give way to their characters, numeric and named ones, with and without a semicolon.
+
+    A name that isn't known whole counts up to its longest beginning that needs no semicolon. Numbers of no character are U+FFFD, those of C1 controls
+    the characters of Windows-1252, as in HTML. The table of names is the standard library's.
+    """
+    table = html.entities.html5
+    ended, bare = _lookup({k[:-1]: v for k, v in table.items() if k.endswith(";")}), _lookup({k: v for k, v in table.items() if not k.endswith(";")})
+    controls = _lookup({str(b): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)})
+    longest = max(len(k) for k in table if not k.endswith(";"))
+
+    def character(ref: Column) -> Column:
+        body = F.regexp_replace(ref, "^&#?|;$", "")
+        number = F.regexp_replace(body, "^[xX]?0*", "")
+        n = F.when(F.length(number) > 8, F.lit(0)).otherwise(F.when(ref.rlike("^&#[xX]"), F.conv(number, 16, 10)).otherwise(number).try_cast("int"))
+        fits = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        numeric = F.when(fits, F.coalesce(F.try_element_at(controls, n.cast("string")), code_point(n))).otherwise(F.lit("�"))
+        begun = [F.concat(F.try_element_at(bare, F.substring(body, 1, k)), F.substring(ref, k + 2, 1 << 20)) for k in range(longest, 1, -1)]
+        name = F.coalesce(F.when(ref.endswith(";"), F.try_element_at(ended, body)), *begun, ref)
+        return F.when(ref.startswith("&#"), numeric).otherwise(name)
+
+    parts, refs = F.split(text, REFERENCE, -1), F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+    whole = F.array_join(F.zip_with(parts, refs, lambda p, r: F.concat(p, F.coalesce(character(r), F.lit("")))), "")
+    return F.when(text.rlike("&[a-zA-Z#]"), whole).otherwise(text)

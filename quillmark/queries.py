@@ -876,6 +876,33 @@ def load_legacy_lookup(spark, sf_dir):
     return G.load_legacy(table(spark, sf_dir, "customer").select(*names), names, "BUILDING")
 
 
+@query(DOC_LINES + "select doc_id, pg page_idx, ix p_idx, n global_p_idx, md5(raw) raw from d")
+def malformed_pages(spark, sf_dir):
+    """Documents as malformed pages, read back line by line."""
+    from .plans.render import malformed_pages as rendered
+
+    pages = rendered(doc_lines(spark, sf_dir), "doc_id")
+    docs = pages.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_idx", "html"))), lambda x: x["html"]), "").alias("html"))
+    lines = D.paged_lines(docs)
+    return lines.select("doc_id", "page_idx", "p_idx", F.col("global_p_idx").cast("bigint").alias("global_p_idx"), F.md5("raw_text").alias("raw"))
+
+
+@query(DOC_LINES + "select doc_id, pg page, ix p_idx, md5(raw) raw from d")
+def paged_files(spark, sf_dir):
+    """The same pages written to files of many pages each, read in parts. A page's first paragraph says whose it is."""
+    from .plans.render import malformed_pages as rendered
+    from .sources.stages import shared_path
+
+    pages = rendered(doc_lines(spark, sf_dir), "doc_id")
+    named = F.replace("html", F.lit("'sheet page'>"), F.concat(F.lit("'sheet page'><p>"), F.col("doc_id").cast("string"), F.lit(" "), F.col("page_idx").cast("string")))
+    at = shared_path(spark)
+    pages.select(named.alias("value")).write.text(at)
+    lines = D.file_lines(spark, at)
+    heads = lines.where("p_idx = 0").select(F.col("doc_id").alias("file"), "page_idx", F.split("raw_text", " ").alias("h"))
+    rows = lines.where("p_idx > 0").withColumnRenamed("doc_id", "file").join(heads, ["file", "page_idx"])
+    return rows.select(F.get("h", F.lit(0)).cast("bigint").alias("doc_id"), F.get("h", F.lit(1)).cast("int").alias("page"), (F.col("p_idx") - 1).cast("int").alias("p_idx"), F.md5("raw_text").alias("raw"))
+
+
 # ---------------------------------------------------------------- bills: rendered from orders, read back by the extraction
 
 from .plans import extract as EX  # noqa: E402

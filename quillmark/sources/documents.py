@@ -7,11 +7,29 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
+from ..functions import scalars as X
 
-# Character references that the documents use.
-REFERENCES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
-PAGE_START = r"(?i)<div\b[^>]*class=\"(?:[^\"]*\s)?page(?:\s[^\"]*)?\"[^>]*>"
 PARAGRAPH = r"(?is)<p\b[^>]*>(.*?)</p>"
+# Elements whose start or end tag ends a paragraph.
+BLOCKS = (
+    "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
+    "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
+)
+_ENDS = r"(?=[\s/>]|\z)"
+#: Before each tag of a div.
+DIV_CUT = rf"(?i)(?=</?div{_ENDS})"
+#: A tag whose quoted values may hold ``>``, else one up to the next ``>``.
+TAG = r"""(?s)^<(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+PLAIN_TAG = r"(?s)^<[^>]*+(?:>|\z)"
+INLINE_TAG = r"""(?s)<[a-zA-Z/!?](?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|\z))"""
+#: A paragraph's start; the paragraph up to the next tag of a block, its own end tag included, with its inside.
+P_START = rf"(?i)<p{_ENDS}"
+P_WHOLE = rf"""(?is)<p{_ENDS}(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|\z))(.*?)(?=</?(?:{'|'.join(BLOCKS)}){_ENDS}|\z)"""
+CLASS = r"""(?is)\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+#: Comments, scripts and styles hold no tags; one that isn't ended takes all that follows.
+SILENT = r"(?is)<!--.*?-->|<(script|style)\b[^>]*+>.*?</\1\s*>"
+SILENT_OPEN = r"(?is)<(?:(!)--|(script|style)\b[^>]*+>).*"
+SILENT_ENDS = {"!": "-->", "script": r"</script\s*>", "style": r"</style\s*>"}
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
@@ -28,10 +46,8 @@ def first_page_of(file_name: Column) -> Column:
 
 
 def text_of(html: Column) -> Column:
-    out = F.regexp_replace(html, r"<[^>]*>", "")
-    for name, char in REFERENCES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    """Text of an element's inside: tags go, character references give way to their characters. A ``<`` before anything but a tag is text."""
+    return X.unescaped(F.regexp_replace(html, INLINE_TAG, ""))
 
 
 def paragraphs(docs: DataFrame, id_col: str, html_col: str) -> DataFrame:
@@ -41,25 +57,143 @@ def paragraphs(docs: DataFrame, id_col: str, html_col: str) -> DataFrame:
 
 
 def paged_lines(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
-    """The lines table of paged documents: a page is a ``div.page``, a line a ``p``."""
-    pages = docs.select(id_col, F.posexplode(F.split(html_col, PAGE_START)).alias("n", "page")).where("n > 0")
-    lines = pages.select(id_col, (F.col("n") - 1).alias("page_idx"), F.posexplode(F.regexp_extract_all("page", F.lit(PARAGRAPH), F.lit(1))).alias("p_idx", "inner"))
-    return described(lines.select(id_col, "page_idx", "p_idx", text_of(F.col("inner")).alias("raw_text")), id_col)
+    """The lines table of paged documents: a page is a ``div`` of class ``page``, a line a ``p`` in it.
+
+    Markup may be malformed. A paragraph ends at its end tag or at any tag of ``BLOCKS``; end tags of divs that aren't open are
+    passed over, divs that aren't ended last to the document's end; values of attributes may be quoted in either way or not at all; comments, scripts
+    and styles hold no tags; a div's tag in an attribute's value counts as one. A page within a page is a page of its own, and its lines are lines of both, as its paragraphs lie in both.
+    Null and empty documents have no lines.
+    """
+    pieces = docs.select(F.col(id_col).alias("doc"), F.posexplode(F.split(_loud(F.col(html_col)), DIV_CUT)).alias("n", "piece"))
+    return lines_of(pieces, id_col)
+
+
+def file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines table of html files of any size: ``doc_id`` is the file's name without its ending.
+
+    Files are read in parts that start at a div, so no file is one string or one task's; lines are those of ``paged_lines(scan(...))``.
+    """
+    pieces = cleaned(file_pieces(spark, path))
+    cut = pieces.select("doc", "n", F.posexplode(F.split("piece", DIV_CUT)).alias("m", "piece"))
+    return lines_of(cut.select("doc", F.struct("n.block", "n.row", "m").alias("n"), "piece"))
+
+
+def file_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """(doc, n, piece): files cut where a div starts. ``n`` ascends within a file: the place of the part that a task reads, and the row's place among its rows.
+
+    What stands before a file's first div gets the letters of a div's start, too; nothing of it lies in a page, so that changes no line.
+    """
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    n = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("n")
+    rows = spark.read.option("lineSep", "<div").text(path)
+    return rows.select(F.regexp_replace(name, r"\.[^.]*$", "").alias("doc"), n, F.concat(F.lit("<div"), "value").alias("piece"))
+
+
+def _loud(text: Column) -> Column:
+    """A text without comments, scripts and styles."""
+    return F.regexp_replace(F.regexp_replace(text, SILENT, ""), SILENT_OPEN, "")
+
+
+def _open_at_end(text: Column) -> Column:
+    """Which comment (``!``), script or style a text leaves open; the empty text if none."""
+    left = F.regexp_replace(F.coalesce(text, F.lit("")), SILENT, "")
+    return F.coalesce(F.nullif(F.regexp_extract(left, SILENT_OPEN, 1), F.lit("")), F.lower(F.regexp_extract(left, SILENT_OPEN, 2)))
+
+
+def _behind(kind: str) -> Column:
+    """What stands behind the first end of an open comment, script or style; null if it doesn't end here."""
+    return F.get(F.split("piece", rf"(?i){SILENT_ENDS[kind]}", 2), F.lit(1))
+
+
+def cleaned(pieces: DataFrame) -> DataFrame:
+    """Pieces without comments, scripts and styles, those that last over several pieces included.
+
+    Documents in which one lasts are walked piece by piece, in a sorted stream of what each piece opens and ends; where there are none, nothing is.
+    """
+    lasting = pieces.where(F.col("piece").rlike(r"(?i)<!--|<(?:script|style)\b")).where(_open_at_end(F.col("piece")) != "").select("doc").distinct()
+    if lasting.isEmpty():
+        return pieces.withColumn("piece", _loud(F.col("piece")))
+    kinds = list(SILENT_ENDS)
+    then = [F.when(_behind(k).isNull(), F.lit(k)).otherwise(_open_at_end(_behind(k))).alias(f"then_{j}") for j, k in enumerate(kinds)]
+    said = pieces.join(lasting, "doc", "left_semi").select("doc", "n", _open_at_end(F.col("piece")).alias("none"), *then)
+
+    def walk(batches):
+        import pyarrow as pa
+
+        doc = state = None
+        for b in batches:
+            out = []
+            for now, none, *ended in zip(*(b.column(c).to_pylist() for c in ("doc", "none", *(f"then_{j}" for j in range(len(kinds))))), strict=True):
+                if now != doc:
+                    doc, state = now, ""
+                out.append(state)
+                state = ended[kinds.index(state)] if state else none
+            yield pa.record_batch([b.column("doc"), b.column("n"), pa.array(out, pa.string())], ["doc", "n", "inside"])
+
+    kind = pieces.schema["n"].dataType.simpleString()
+    inside = said.repartition("doc").sortWithinPartitions("doc", "n").mapInArrow(walk, f"doc string, n {kind}, inside string")
+    out = pieces.join(inside, ["doc", "n"], "left")
+    rest = F.col("piece")
+    for k in kinds:
+        rest = F.when(F.col("inside") == k, F.coalesce(_behind(k), F.lit(""))).otherwise(rest)
+    return out.select("doc", "n", _loud(rest).alias("piece"))
+
+
+def _tag(piece: Column) -> Column:
+    return F.coalesce(F.nullif(F.regexp_extract(piece, TAG, 0), F.lit("")), F.regexp_extract(piece, PLAIN_TAG, 0))
+
+
+def page_places(pieces: DataFrame) -> DataFrame:
+    """(doc, n, page_idx, first, first_of_all): the pages that each piece lies in, and how many paragraphs stand before it in the page and in all pages.
+
+    A row for a div's tag carries the whole structure, so windows run over these narrow rows, never over lines. Running depths
+    never fall below zero; a start and the end behind it at one depth belong together.
+    """
+    piece = F.col("piece")
+    tag = _tag(piece)
+    step = F.when(piece.rlike(rf"(?i)^</div{_ENDS}"), -1).when(piece.rlike(rf"(?i)^<div{_ENDS}"), 1).otherwise(0)
+    names = F.split(F.trim(F.regexp_replace(F.concat(*[F.regexp_extract(tag, CLASS, k) for k in (1, 2, 3)]), r"\s+", " ")), " ")
+    page = (step == 1) & F.array_contains(names, "page") & ~tag.rlike("^<[^\"'>]*<")
+    rows = pieces.select("doc", "n", step.alias("d"), page.alias("page"), F.regexp_count(piece, F.lit(P_START)).cast("bigint").alias("own"))
+    upto = W.partitionBy("doc").orderBy("n").rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("s", F.sum("d").over(upto)).withColumn("low", F.least(F.min("s").over(upto), F.lit(0)))
+    stray = (F.col("d") == -1) & (F.col("low") < F.coalesce(F.lag("low").over(W.partitionBy("doc").orderBy("n")), F.lit(0)))
+    depth = F.col("s") - F.col("low")
+    rows = rows.withColumn("level", F.when(F.col("d") == 1, depth).when((F.col("d") == -1) & ~stray, depth + 1))
+    ends = (F.col("d") == -1) & F.col("level").isNotNull() & F.coalesce(F.lag("page").over(W.partitionBy("doc", "level").orderBy("n")), F.lit(False))
+    rows = rows.withColumn("turn", F.when(F.col("page"), 1).when(ends, -1).otherwise(0))
+    rows = rows.withColumns({"part": F.sum(F.abs("turn")).over(upto), "depth": F.sum("turn").over(upto), "page_idx": F.sum(F.col("page").cast("int")).over(upto) - 1})
+    turns = rows.withColumn("last", F.max("part").over(W.partitionBy("doc"))).where("turn <> 0")
+    turns = turns.withColumn("at", F.when(F.col("turn") == 1, F.col("depth")).otherwise(F.col("depth") + 1))
+    end = F.coalesce(F.lead("part").over(W.partitionBy("doc", "at").orderBy("part")) - 1, F.col("last"))
+    parts = turns.withColumn("end", end).where("turn = 1").select(F.col("doc").alias("__doc"), F.col("page_idx").cast("int").alias("__page"), F.explode(F.sequence("part", "end")).alias("__part"))
+    inside = rows.where("own > 0").join(parts, rows["doc"].eqNullSafe(F.col("__doc")) & (rows["part"] == F.col("__part"))).select("doc", "n", "own", F.col("__page").alias("page_idx"))
+    before = lambda part, *order: F.coalesce(F.sum("own").over(W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return inside.select("doc", "n", "page_idx", before(["doc", "page_idx"], "n").alias("first"), before(["doc"], "page_idx", "n").alias("first_of_all"))
+
+
+def lines_of(pieces: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The lines table of (doc, n, piece); each piece starts at a tag of a div or holds what stands before the first one."""
+    places = page_places(pieces)
+    at = places.select(*[F.col(c).alias(f"__{c}") for c in places.columns])
+    both = pieces.join(at, pieces["doc"].eqNullSafe(F.col("__doc")) & (pieces["n"] == F.col("__n")))
+    lines = both.select(F.col("doc").alias(id_col), F.col("__page_idx").alias("page_idx"), "__first", "__first_of_all", F.posexplode(F.regexp_extract_all("piece", F.lit(P_WHOLE), F.lit(1))).alias("k", "inner"))
+    whole = lambda c: (F.col(c) + F.col("k")).cast("int")
+    return told(lines.select(id_col, "page_idx", whole("__first").alias("p_idx"), text_of(F.col("inner")).alias("raw_text"), whole("__first_of_all").alias("global_p_idx")), id_col)
 
 
 def text_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", page_size: int | None = None) -> DataFrame:
     """The lines table of plain texts, cut at newlines; ``page_size`` lines make up a page."""
     lines = docs.select(id_col, F.posexplode(F.split(text_col, "\n", -1)).alias("n", "raw_text"))
     page = F.floor(F.col("n") / page_size).cast("int") if page_size else F.lit(0)
-    return described(lines.select(id_col, page.alias("page_idx"), (F.col("n") % page_size if page_size else F.col("n")).alias("p_idx"), "raw_text"), id_col)
+    return told(lines.select(id_col, page.alias("page_idx"), (F.col("n") % page_size if page_size else F.col("n")).alias("p_idx"), "raw_text", F.col("n").alias("global_p_idx")), id_col)
 
 
-def described(lines: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Add global_p_idx, line_num, text and is_blank to (id, page_idx, p_idx, raw_text)."""
+def told(lines: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Add line_num, text and is_blank to (id, page_idx, p_idx, raw_text, global_p_idx)."""
     raw = F.col("raw_text")
     blank = P.is_blank(raw)
-    order = W.partitionBy(id_col).orderBy("page_idx", "p_idx")
-    return lines.withColumn("global_p_idx", F.row_number().over(order) - 1).withColumns({"line_num": F.when(~blank, P.line_number(raw)), "text": P.line_body(raw), "is_blank": blank})
+    return lines.select(id_col, "page_idx", "p_idx", "raw_text", "global_p_idx", F.when(~blank, P.line_number(raw)).alias("line_num"), P.line_body(raw).alias("text"), blank.alias("is_blank"))
 
 
 def page_slice(lines: DataFrame, first: int, last: int) -> DataFrame:
