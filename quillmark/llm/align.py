@@ -37,7 +37,9 @@ BITS = 20
 #: Pairs with more than this share of all links are hot; there are fewer than its inverse.
 HOT = 1 << 17
 #: Distinct words kept with their tokens, and the longest of them.
-KEPT, LONGEST = 400_000, 64
+KEPT, LONGEST = 250_000, 64
+#: Bytes of text whose tokens are laid on each other at once.
+TOGETHER = 1 << 20
 
 
 def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,7 +229,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
     """
 
     def run(batches):
-        for b in bounded(batches, 1):
+        for b in bounded(batches, 1, TOGETHER):
             texts = [" " + (x or "") for x in b.column(1).to_pylist()]
             some = Aligned(texts, a_path, b_path)
             groups = some.groups()

@@ -55,13 +55,13 @@ def parts(spark: SparkSession) -> int:
 AT_ONCE = 1 << 22
 
 
-def bounded(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    """Batches whose column ``text`` holds about ``AT_ONCE`` bytes; a longer value stands alone."""
+def bounded(batches: Iterable[pa.RecordBatch], text: int, at_once: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Batches whose column ``text`` holds about ``at_once`` bytes; a longer value stands alone."""
     for b in batches:
         upto = np.cumsum(np.nan_to_num(pc.binary_length(b.column(text)).to_numpy(zero_copy_only=False).astype(float)))
         a = 0
         while a < len(upto):
-            z = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + AT_ONCE, "right")))
+            z = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + at_once, "right")))
             yield b.slice(a, z - a)
             a = z
 
