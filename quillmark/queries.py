@@ -919,25 +919,32 @@ def items(spark, sf_dir):
     return RD.items_of(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
 
 
+def bill_lines(bill: DataFrame) -> DataFrame:
+    """A rendered bill's lines, staged, as the extraction reads them more than once."""
+    from .sources.stages import staged
+
+    return staged(D.paged_lines(bill))
+
+
 RECORD_COLS = ["doc_id", "agency", "program", "fund", "chapter_year", "amending_year", "approp_id", "approp_amount", "reapprop_amount"]
 
 
 @query(ITEMS + "select doc_id, 'EDUCATION DEPARTMENT' agency, program, fund, chapter_year, 0 amending_year, approp_id, amount approp_amount, amount reapprop_amount from i")
 def bill_reapprops(spark, sf_dir):
-    return EX.carried_records(D.paged_lines(RD.reapprop_bill(items(spark, sf_dir)))).select(RECORD_COLS)
+    return EX.carried_records(bill_lines(RD.reapprop_bill(items(spark, sf_dir)))).select(RECORD_COLS)
 
 
 @query(ITEMS + """
 select doc_id, program, fund || '; Local Government Records Management Fund; Account of the Fund - 20501' fund, chapter_year, chapter_year + 1 amending_year, approp_id, amount approp_amount, amount reapprop_amount from i""")
 def bill_multiline_headers(spark, sf_dir):
     """Funds of three parts, one of them wrapped, chapter headers over three lines, and sub-schedules between records."""
-    lines = D.paged_lines(RD.reapprop_bill(items(spark, sf_dir), long_headers=True, subschedules=True))
+    lines = bill_lines(RD.reapprop_bill(items(spark, sf_dir), long_headers=True, subschedules=True))
     return EX.carried_records(lines).select([c for c in RECORD_COLS if c != "agency"])
 
 
 @query(ITEMS + "select doc_id, 'EDUCATION DEPARTMENT' agency, program, fund, 2025 chapter_year, 0 amending_year, approp_id, amount approp_amount, amount reapprop_amount from i")
 def bill_appropriations(spark, sf_dir):
-    return EX.new_records(D.paged_lines(RD.approp_bill(items(spark, sf_dir)))).select(RECORD_COLS)
+    return EX.new_records(bill_lines(RD.approp_bill(items(spark, sf_dir)))).select(RECORD_COLS)
 
 
 @query(ITEMS + """
@@ -947,14 +954,14 @@ n as (select *, 2 + cast(np as int) + cast(nf as int) + cast(nc as int) c, sum(2
 h as (select doc_id, program, cast(null as varchar) fund, s pos from n where np union all select doc_id, program, fund, s + cast(np as int) from n where nf)
 select doc_id, program, fund, cast(min(pos) // 50 as int) page, cast(min(pos) % 50 + 1 as int) line from h group by 1,2,3""")
 def bill_header_positions(spark, sf_dir):
-    h = EX.header_positions(D.paged_lines(RD.reapprop_bill(items(spark, sf_dir))))
+    h = EX.header_positions(bill_lines(RD.reapprop_bill(items(spark, sf_dir))))
     return h.select("doc_id", "program", "fund", F.col("page").cast("int").alias("page"), F.col("line").cast("int").alias("line"))
 
 
 @query(ITEMS + "select doc_id, count(*) n from i where program = 'BUILDING PROGRAM' group by 1")
 def bill_warnings(spark, sf_dir):
     """Records without a chapter year: those of the program whose chapter headers are left out."""
-    r = EX.without_chapter(EX.carried_records(D.paged_lines(RD.reapprop_bill(items(spark, sf_dir), bare_program="BUILDING PROGRAM"))))
+    r = EX.without_chapter(EX.carried_records(bill_lines(RD.reapprop_bill(items(spark, sf_dir), bare_program="BUILDING PROGRAM"))))
     return r.groupBy("doc_id").agg(F.count("*").alias("n"))
 
 

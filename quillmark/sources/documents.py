@@ -150,11 +150,11 @@ def page_places(pieces: DataFrame) -> DataFrame:
     never fall below zero; a start and the end behind it at one depth belong together.
     """
     piece = F.col("piece")
-    tag = _tag(piece)
-    step = F.when(piece.rlike(rf"(?i)^</div{_ENDS}"), -1).when(piece.rlike(rf"(?i)^<div{_ENDS}"), 1).otherwise(0)
-    names = F.split(F.trim(F.regexp_replace(F.concat(*[F.regexp_extract(tag, CLASS, k) for k in (1, 2, 3)]), r"\s+", " ")), " ")
-    page = (step == 1) & F.array_contains(names, "page") & ~tag.rlike("^<[^\"'>]*<")
-    rows = pieces.select("doc", "n", step.alias("d"), page.alias("page"), F.regexp_count(piece, F.lit(P_START)).cast("bigint").alias("own"))
+    starts = piece.rlike(rf"(?i)^<div{_ENDS}")
+    step = F.when(starts, 1).when(piece.rlike(rf"(?i)^</div{_ENDS}"), -1).otherwise(0)
+    rows = pieces.select("doc", "n", step.alias("d"), F.when(starts, _tag(piece)).alias("tag"), F.regexp_count(piece, F.lit(P_START)).cast("bigint").alias("own"))
+    names = F.concat(*[F.regexp_extract("tag", CLASS, k) for k in (1, 2, 3)])
+    rows = rows.select("doc", "n", "d", "own", F.coalesce(names.rlike(r"(?:^|\s)page(?:\s|$)") & ~F.col("tag").rlike("^<[^\"'>]*<"), F.lit(False)).alias("page"))
     upto = W.partitionBy("doc").orderBy("n").rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn("s", F.sum("d").over(upto)).withColumn("low", F.least(F.min("s").over(upto), F.lit(0)))
     stray = (F.col("d") == -1) & (F.col("low") < F.coalesce(F.lag("low").over(W.partitionBy("doc").orderBy("n")), F.lit(0)))
@@ -178,8 +178,9 @@ def lines_of(pieces: DataFrame, id_col: str = "doc_id") -> DataFrame:
     at = places.select(*[F.col(c).alias(f"__{c}") for c in places.columns])
     both = pieces.join(at, pieces["doc"].eqNullSafe(F.col("__doc")) & (pieces["n"] == F.col("__n")))
     lines = both.select(F.col("doc").alias(id_col), F.col("__page_idx").alias("page_idx"), "__first", "__first_of_all", F.posexplode(F.regexp_extract_all("piece", F.lit(P_WHOLE), F.lit(1))).alias("k", "inner"))
+    lines = lines.withColumn("inner", F.regexp_replace("inner", INLINE_TAG, ""))
     whole = lambda c: (F.col(c) + F.col("k")).cast("int")
-    return told(lines.select(id_col, "page_idx", whole("__first").alias("p_idx"), text_of(F.col("inner")).alias("raw_text"), whole("__first_of_all").alias("global_p_idx")), id_col)
+    return told(lines.select(id_col, "page_idx", whole("__first").alias("p_idx"), X.unescaped(F.col("inner")).alias("raw_text"), whole("__first_of_all").alias("global_p_idx")), id_col)
 
 
 def text_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", page_size: int | None = None) -> DataFrame:
