@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.scalars import carried
+from .sequences import as_of
 
 
 def change_id(*cols: Column) -> Column:
@@ -44,6 +45,40 @@ def headers_before(lines: DataFrame, starts: DataFrame, is_header: Column, on: l
     return found.join(own, [*on, "header"]).where("line_at < start")
 
 
+def numbered_places(lines: DataFrame, on: list[str]) -> DataFrame:
+    """Numbered lines that aren't blank, with ``place``: their number in the document, from the numbers on the pages before."""
+    body = lines.where("line_num is not null and not is_blank")
+    upto = W.partitionBy(*on).orderBy("page_idx").rowsBetween(W.unboundedPreceding, -1)
+    pages = body.groupBy(*on, "page_idx").agg(F.count("*").alias("__n")).select(*on, "page_idx", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__before"))
+    own = F.row_number().over(W.partitionBy(*on, "page_idx").orderBy("p_idx"))
+    return body.withColumn("__own", own).join(pages, [*on, "page_idx"]).withColumn("place", F.col("__before") + F.col("__own")).drop("__before", "__own")
+
+
+def header_groups(places: DataFrame, is_header: Column, on: list[str], most: int, closes: Column | None = None, stops: Column | None = None) -> DataFrame:
+    """(on, header, place, page_idx, line_num): each header line of ``numbered_places`` with the lines that go on with it, ``most`` in all.
+
+    A line behind one that ``closes`` the header doesn't belong to it, nor does one that ``stops`` it, nor any behind that.
+    """
+    flag = lambda c: F.coalesce(c, F.lit(False)) if c is not None else F.lit(False)
+    rows = places.select(*on, "place", "page_idx", "line_num", flag(is_header).alias("__head"), flag(closes).alias("__closes"), flag(stops).alias("__stops"))
+    heads = rows.where("__head").select(*on, F.col("place").alias("header"), F.explode(F.sequence(F.col("place"), F.col("place") + most - 1)).alias("place"))
+    group = heads.join(rows, [*on, "place"])
+    w = W.partitionBy(*on, "header").orderBy("place")
+    upto, before = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(W.unboundedPreceding, -1)
+    stopped = F.max(F.col("__stops") & (F.col("place") > F.col("header"))).over(upto) | F.coalesce(F.max("__closes").over(before), F.lit(False))
+    return group.withColumn("__stopped", stopped).where("not __stopped").select(*on, "header", "place", "page_idx", "line_num")
+
+
+def headers_of(places: DataFrame, groups: DataFrame, starts: DataFrame, on: list[str]) -> DataFrame:
+    """(on, start, page_idx, line_num): the lines before each start of the header group nearest before it, across pages.
+
+    ``starts``: on, place. A header counts for the starts behind it, so groups are joined once for each start, by their number.
+    """
+    near = as_of(starts.select(*on, "place").distinct(), groups.select(*on, F.col("header").alias("place")).distinct(), on, ["place"], ["place"], name="__near")
+    near = near.select(*on, F.col("place").alias("start"), F.col("__near.place").alias("header"))
+    return near.join(groups, [*on, "header"]).where("place < start").select(*on, "start", "page_idx", "line_num")
+
+
 def replace_first(text: Column, old: Column, new: Column) -> Column:
     """First occurrence only, taken as plain text."""
     at = F.instr(text, old) if isinstance(old, str) else F.position(old, text)

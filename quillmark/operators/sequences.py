@@ -21,7 +21,8 @@ def before(part: list[str], order: list[str]):
 
 
 def after(part: list[str], order: list[str]):
-    return W.partitionBy(*part).orderBy(*order).rowsBetween(1, W.unboundedFollowing)
+    """Rows behind a row, the nearest last: an order from the end needs one running value, a frame up to the end would be read anew for each row."""
+    return W.partitionBy(*part).orderBy(*[F.desc(c) for c in order]).rowsBetween(W.unboundedPreceding, -1)
 
 
 def carry_forward(df: DataFrame, values: dict[str, Column], part: list[str], order: list[str]) -> DataFrame:
@@ -89,7 +90,7 @@ def groups_of(df: DataFrame, chosen: Column, same: list[str], part: list[str], o
 
 def neighbours(df: DataFrame, anchor: Column, part: list[str], order: list[str]) -> DataFrame:
     """``previous_anchor`` and ``next_anchor``: the nearest anchors around each row, itself left out."""
-    return df.withColumns({"previous_anchor": F.last(anchor, ignorenulls=True).over(before(part, order)), "next_anchor": F.first(anchor, ignorenulls=True).over(after(part, order))})
+    return df.withColumns({"previous_anchor": F.last(anchor, ignorenulls=True).over(before(part, order)), "next_anchor": F.last(anchor, ignorenulls=True).over(after(part, order))})
 
 
 def first_positions(df: DataFrame, keys: list[str], position: list[str]) -> DataFrame:
@@ -119,22 +120,37 @@ def next_existing(ranked: DataFrame, existing: DataFrame, scope: list[str], key:
     if stop:
         flagged = runs(flagged, stop, scope, [rank], "__stop")
         part = [*scope, "__stop"]
-    found = F.first(F.when(F.col("__e"), F.col(key)), ignorenulls=True).over(after(part, [rank]))
+    found = F.last(F.when(F.col("__e"), F.col(key)), ignorenulls=True).over(after(part, [rank]))
     return flagged.withColumns({"exists": F.coalesce("__e", F.lit(False)), "next_key": found}).drop("__e", "__stop")
 
 
+def as_of(rows: DataFrame, blocks: DataFrame, on: list[str], order: list[str], carried: list[str], later: bool = False, name: str = "found") -> DataFrame:
+    """As-of join: ``name``, a struct of ``order`` and ``carried`` of the nearest block of the same ``on`` strictly before a row in ``order`` (strictly after it, if ``later``).
+
+    Places of both sides make up one ordered window for each ``on``; no row meets more than one block. Of blocks in one place the one with
+    the smallest ``carried`` counts. Null keys find nothing; null order values come first.
+    """
+    there = F.lit(True)
+    for c in on:
+        there &= F.col(c).isNotNull()
+    b = blocks.where(there).groupBy(*on, *order).agg(F.min(F.struct(*carried)).alias("__v"))
+    b = b.withColumns({"__v": F.struct(*order, *[F.col(f"__v.{c}").alias(c) for c in carried if c not in order]), "__row": F.lit(0)})
+    keys = rows.select(*on, *order).distinct().withColumns({"__v": F.lit(None).cast(b.schema["__v"].dataType), "__row": F.lit(1)})
+    # at one place blocks stand where the row doesn't look
+    sort = [F.desc(c) for c in order] + [F.desc("__row")] if later else [F.col(c) for c in order] + [F.desc("__row")]
+    w = W.partitionBy(*on).orderBy(*sort).rowsBetween(W.unboundedPreceding, -1)
+    found = b.unionByName(keys).withColumn("__v", F.last("__v", ignorenulls=True).over(w)).where("__row = 1")
+    found = found.select(*[F.col(c).alias(f"__k_{c}") for c in (*on, *order)], F.col("__v").alias(name))
+    same = F.lit(True)
+    for c in (*on, *order):
+        same &= rows[c].eqNullSafe(F.col(f"__k_{c}"))
+    return rows.join(found, same, "left").drop(*[f"__k_{c}" for c in (*on, *order)])
+
+
 def nearest_newer(rows: DataFrame, blocks: DataFrame, on: list[str], age: list[str], carried: list[str]) -> DataFrame:
     """As-of join: the block of the same ``on`` with the smallest ``age`` above the row's own."""
-    small = blocks.select(*[F.col(c).alias(f"__b_{c}") for c in dict.fromkeys([*on, *age, *carried])])
-    cond = F.lit(True)
-    for c in on:
-        cond &= F.col(c) == F.col(f"__b_{c}")
-    own, other = F.struct(*age), F.struct(*[F.col(f"__b_{c}").alias(c) for c in age])
-    rows = rows.withColumn("__row", F.struct(*on, *age))
-    keys = rows.select("__row", *on, *age).distinct()
-    best = keys.join(small, cond & (other > own)).groupBy("__row").agg(F.min(F.struct(other.alias("a"), F.struct(*[F.col(f"__b_{c}").alias(c) for c in carried]).alias("v"))).alias("__m"))
-    out = rows.join(best, "__row", "left")
-    return out.withColumns({**{f"newer_{c}": F.col(f"__m.a.{c}") for c in age}, **{f"newer_{c}": F.col(f"__m.v.{c}") for c in carried}}).drop("__row", "__m")
+    out = as_of(rows, blocks, on, age, carried, later=True, name="__m")
+    return out.withColumns({f"newer_{c}": F.col(f"__m.{c}") for c in dict.fromkeys([*age, *carried])}).drop("__m")
 
 
 def page_labels(df: DataFrame, page: list[str], page_number: Column, order: list, name: str = "label") -> DataFrame:

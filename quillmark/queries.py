@@ -123,7 +123,15 @@ def reconcile_one_to_one(spark, sf_dir):
     return shown_lines(R.compare_versions(p, c, ["o", "n"], amount="a"))
 
 
-@query()
+@query(LINE_VERSIONS.replace("with l as", "with recursive l as") + """
+, q as (select o, n, list(struct_pack(i := i, a := a) order by i) ps from p group by o, n), v as (select o, n, list(struct_pack(i := i, a := a) order by i) cs from c group by o, n),
+s as (select q.o, q.n, ps, coalesce(cs, []) cs, 0 k, cast(null as bigint) pi, cast(null as bigint) ci, cast(null as bigint) pa, cast(null as bigint) ca from q left join v on q.o = v.o and q.n = v.n
+  union all select o, n, ps, list_slice(cs, 1, w - 1) || list_slice(cs, w + 1, len(cs)), k + 1, ps[k+1].i, cs[w].i, ps[k+1].a, cs[w].a
+  from (select *, case when list_position(list_transform(cs, lambda x: x.a), ps[k+1].a) > 0 then list_position(list_transform(cs, lambda x: x.a), ps[k+1].a) else 1 end w from s where k < len(ps))),
+m as (select * from s where ci is not null)
+select o*1000000+n*10000+pi prior_idx, o*1000000+n*10000+ci current_idx, case when pa=ca then 'continued' else 'modified' end status from m
+union all select o*1000000+n*10000+i, -1, 'dropped' from p where not exists (select 1 from m where m.o=p.o and m.n=p.n and m.pi=p.i)
+union all select -1, o*1000000+n*10000+i, 'new' from c where not exists (select 1 from m where m.o=c.o and m.n=c.n and m.ci=c.i)""")
 def reconcile_greedy(spark, sf_dir):
     p, c = line_versions(spark, sf_dir)
     return shown_lines(R.compare_versions(p, c, ["o", "n"], amount="a", mode="greedy"))
@@ -965,19 +973,22 @@ def bill_warnings(spark, sf_dir):
     return r.groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
-def bill_plan(spark, sf_dir):
-    """Two rendered versions of all bills, extracted, compared, given balances and placed."""
+def bill_plan_and_lines(spark, sf_dir, long_headers=False):
+    """Two rendered versions of all bills, extracted, compared, given balances and placed; and the prior version's lines."""
     from .sources.stages import staged
 
     i = items(spark, sf_dir)
-    prior = EX.carried_records(D.paged_lines(RD.reapprop_bill(i)))
-    later = staged(D.paged_lines(RD.reapprop_bill(i.where("k % 7 <> 0 and (k % 3 <> 0 or fund <> 'General Fund')"))))
-    current = EX.carried_records(later)
+    before = bill_lines(RD.reapprop_bill(i, long_headers))
+    later = bill_lines(RD.reapprop_bill(i.where("k % 7 <> 0 and (k % 3 <> 0 or fund <> 'General Fund')"), long_headers))
     number = lambda df: df.withColumn("rec_idx", F.col("approp_id").cast("bigint") * 10_000_000_000_000 + F.pmod(F.xxhash64(*RECORD_COLS), F.lit(10_000_000_000_000)))
-    prior, current = staged(number(prior)), staged(number(current))
+    prior, current = staged(number(EX.carried_records(before))), staged(number(EX.carried_records(later)))
     balances = i.where("k % 10 <> 3").select(F.lit("EDUCATION DEPARTMENT").alias("agency"), "approp_id", "chapter_year", F.col("amount").alias("approp_amount"), F.col("amount").alias("reapprop_amount"), F.col("amount").cast("double").alias("balance"), F.col("k").alias("row_idx"))
     heads = staged(EX.header_positions(later))
-    return PL.plan(prior, current, balances, fund_headers=heads.where("fund is not null"), program_headers=heads.where("fund is null").drop("fund"))
+    return PL.plan(prior, current, balances, fund_headers=heads.where("fund is not null"), program_headers=heads.where("fund is null").drop("fund")), before
+
+
+def bill_plan(spark, sf_dir):
+    return bill_plan_and_lines(spark, sf_dir)[0]
 
 
 @query(ITEMS + """
@@ -992,8 +1003,7 @@ def bill_versions_to_plan(spark, sf_dir):
 select doc_id, count(*) ids, count(*) filter (rounded <> amount) replaced, cast(sum(rounded) filter (rounded <> amount) as bigint) new_total, 0 bad_labels from s group by 1""")
 def bill_edits(spark, sf_dir):
     """From the plan to edited lines, with their labels placed: every survivor's line stays, its amount is the rounded balance."""
-    p = bill_plan(spark, sf_dir)
-    lines = D.paged_lines(RD.reapprop_bill(items(spark, sf_dir)))
+    p, lines = bill_plan_and_lines(spark, sf_dir)
     script = PL.edits(p, lines)
     stays, replaced = F.col("op").isin("keep", "replace"), F.col("op") == "replace"
     out = script.groupBy("doc_id").agg(F.count_if(stays & F.col("new").rlike(r"\([0-9]{5}\)")).alias("ids"), F.count_if(replaced).alias("replaced"), F.sum(F.when(replaced, E.carried_amount(F.col("new")))).alias("new_total"))
@@ -1003,6 +1013,24 @@ def bill_edits(spark, sf_dir):
     return out.join(bad, "doc_id", "left").fillna(0, ["bad_labels"])
 
 
+@query(ITEMS + """
+, c as (select * from i where k % 7 <> 0 and (k % 3 <> 0 or fund <> 'General Fund')), s as (select * from i where (k % 7 = 0 or (k % 3 = 0 and fund = 'General Fund')) and k % 10 <> 3 and amount >= 1000),
+f as (select distinct doc_id, program, fund from s where not exists (select 1 from c where c.doc_id = s.doc_id and c.program = s.program and c.fund = s.fund)),
+h as (select distinct doc_id, program, fund, chapter_year from s where not exists (select 1 from c where c.doc_id = s.doc_id and c.program = s.program and c.fund = s.fund and c.chapter_year = s.chapter_year)),
+x as (select doc_id, count(*) n from f group by 1), y as (select doc_id, count(*) n from h group by 1), d as (select distinct doc_id from s)
+select doc_id, coalesce(x.n, 0) funds, coalesce(x.n, 0) fund_parts, coalesce(x.n, 0) fund_wraps, 0 fund_rest, coalesce(y.n, 0) chapters, coalesce(y.n, 0) chapter_second, 0 chapter_rest from d left join x using (doc_id) left join y using (doc_id)""")
+def bill_edits_long_headers(spark, sf_dir):
+    """Header lines that the edits of a plan keep, of bills whose funds have four lines and whose chapter headers have three: three and two of them, each once."""
+    p, lines = bill_plan_and_lines(spark, sf_dir, long_headers=True)
+    script = PL.edits(p, lines).where("op = 'keep'").select("doc_id", "page_idx", "line_num", "text").distinct()
+    t = F.col("text")
+    kinds = {
+        "funds": P.is_fund_family(t), "fund_parts": t == "Local Government Records", "fund_wraps": t == "Management Fund", "fund_rest": t.startswith("Account of the Fund"),
+        "chapters": t.startswith("The appropriation made by"), "chapter_second": t.startswith("supplemented by"), "chapter_rest": t.startswith("as amended by"),
+    }
+    return script.groupBy("doc_id").agg(*[F.count_if(c).alias(name) for name, c in kinds.items()])
+
+
 @query()
 def bill_plan_labels(spark, sf_dir):
     """Labels of the plan with their anchors; tests hold them against a walk over the records."""

@@ -155,3 +155,52 @@ def test_small_agencies_get_codes_that_are_left(spark):
     codes = spark.createDataFrame([("1", k, 2_000_000 + k) for k in range(3)] + [("1", 50 + k, 10 + k) for k in range(5)] + [("2", 60, 99)], "code string, id int, amount long")
     known = spark.createDataFrame([("BIG", k, 2_000_000 + k) for k in range(3)] + [("SMALL", 50 + k, 10 + k) for k in range(5)] + [("TINY", 60, 99), ("", 60, 99)], "agency string, id int, amount long")
     assert {tuple(r) for r in L.learned_mapping(codes, known, ["id", "amount"], "code", "agency", "amount").collect()} == {("1", "BIG"), ("2", "TINY")}
+
+
+def test_as_of_joins_look_strictly_before_or_after(spark):
+    from quillmark.operators import sequences as S
+
+    rows = spark.createDataFrame([("a", 1), ("a", 5), ("a", 5), ("a", 9), ("b", 3), (None, 4), ("a", None)], "g string, t int")
+    blocks = spark.createDataFrame([("a", 5, "x"), ("a", 5, "w"), ("a", 7, "y"), ("b", 3, "z"), (None, 1, "n")], "g string, t int, v string")
+    got = {(r["g"], r["t"], r["found"] and (r["found"]["t"], r["found"]["v"])) for r in S.as_of(rows, blocks, ["g"], ["t"], ["v"]).collect()}
+    assert got == {("a", 1, None), ("a", 5, None), ("a", 9, (7, "y")), ("b", 3, None), (None, 4, None), ("a", None, None)}
+    got = {(r["g"], r["t"], r["found"] and (r["found"]["t"], r["found"]["v"])) for r in S.as_of(rows, blocks, ["g"], ["t"], ["v"], later=True).collect()}
+    assert got == {("a", 1, (5, "w")), ("a", 5, (7, "y")), ("a", 9, None), ("b", 3, None), (None, 4, None), ("a", None, (5, "w"))}
+    assert S.as_of(rows, blocks, ["g"], ["t"], ["v"]).count() == 7
+
+
+def test_greedy_on_one_hot_key_is_the_plain_walk(spark):
+    import random
+
+    from quillmark.operators import reconcile as R
+
+    for seed in range(6):
+        rng = random.Random(seed)
+        kinds = (3, 40, 4000)[seed % 3]
+        p = [("k" if i % 3 else "l", i, rng.randrange(kinds) if rng.random() < 0.98 else None) for i in range(400)]
+        c = [("k" if i % 3 else "m", i, rng.randrange(kinds) if rng.random() < 0.98 else None) for i in range(1000, 1350)]
+        want = set()
+        for key in "klm":
+            free = [(i, a) for k, i, a in c if k == key]
+            for k, i, a in p:
+                if k == key and free:
+                    hit = next((x for x in free if x[1] == a), free[0])
+                    free.remove(hit)
+                    want.add((i, hit[0]))
+        df = lambda rows: spark.createDataFrame(rows, "k string, rec_idx long, reapprop_amount long")
+        assert {tuple(r) for r in R.match_greedy(df(p), df(c), ["k"]).collect()} == want
+
+
+def test_header_groups_close_stop_and_cross_pages(spark):
+    from pyspark.sql import functions as F
+
+    from quillmark.operators import edits as E
+
+    rows = ["H one", "two", "S three", "H four:", "five", "H six", "seven", "", "eight", "nine"]
+    lines = spark.createDataFrame([("d", k // 4, k % 4, k % 4 + 1 if x else None, x, not x) for k, x in enumerate(rows)], "doc string, page_idx int, p_idx int, line_num int, text string, is_blank boolean")
+    places = E.numbered_places(lines, ["doc"])
+    groups = E.header_groups(places, F.col("text").startswith("H"), ["doc"], 3, closes=F.col("text").endswith(":"), stops=F.col("text").startswith("S"))
+    assert sorted((r["header"], r["place"]) for r in groups.collect()) == [(1, 1), (1, 2), (4, 4), (6, 6), (6, 7), (6, 8)]
+    starts = spark.createDataFrame([("d", 2), ("d", 5), ("d", 7), ("d", 9), ("d", 1)], "doc string, place long")
+    got = sorted((r["start"], r["page_idx"], r["line_num"]) for r in E.headers_of(places, groups, starts, ["doc"]).collect())
+    assert got == [(2, 0, 1), (5, 0, 4), (7, 1, 2), (9, 1, 2), (9, 1, 3), (9, 2, 1)]
