@@ -61,17 +61,14 @@ def carried(amount: Column, dollar: bool = True) -> Column:
 
 
 def letters(k: Column) -> Column:
-    """0 is A, 25 is Z, 26 is AA, 702 is AAA, 18,278 is AAAA, and so on for any bigint."""
+    """0 is A, 25 is Z, 26 is AA, 702 is AAA, 18,278 is AAAA, and so on for any bigint: the digits of base 26 behind the shorter texts."""
     k = k.cast("bigint")
-    above, out = 0, []
-    for n in range(1, 15):  # 14 letters hold every bigint
-        place = k - above
-        out.append((above + 26**n, F.concat(*[F.char(F.lit(65) + F.call_function("div", place, F.lit(26**p).cast("bigint")) % 26) for p in range(n - 1, -1, -1)])))
-        above += 26**n
-    text = out[-1][1]
-    for end, one in reversed(out[:-1]):
-        text = F.when(k < end, one).otherwise(text)
-    return text
+    size, above = F.lit(14), F.lit(sum(26**n for n in range(1, 14)))  # 14 letters hold every bigint
+    for n in range(13, 0, -1):
+        shorter = sum(26**m for m in range(1, n))
+        size, above = F.when(k < shorter + 26**n, n).otherwise(size), F.when(k < shorter + 26**n, F.lit(shorter).cast("bigint")).otherwise(above)
+    digits = F.lpad(F.conv((k - above).cast("string"), 10, 26), size, "0")
+    return F.translate(digits, "0123456789ABCDEFGHIJKLMNOP", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
 def numbered(number: Column, body: Column) -> Column:

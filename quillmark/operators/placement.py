@@ -113,13 +113,17 @@ def labelled(groups: DataFrame, page: list[str], page_number: Column) -> DataFra
 
 
 def invariants(survivors: DataFrame, labels: DataFrame, placed: DataFrame, key: str, label: list[str], amount: str) -> DataFrame:
-    """(rule, violations): each must be 0 for a plan that is whole."""
-    one = lambda rule, df: df.agg(F.count("*").alias("violations")).select(F.lit(rule).alias("rule"), "violations")
-    repeated = lambda df, cols: df.groupBy(*cols).count().where("count > 1")
-    total = lambda df: df.agg(F.coalesce(F.sum(amount), F.lit(0)).alias("t"))
-    differs = total(survivors).withColumnRenamed("t", "x").crossJoin(total(placed)).where("x <> t")  # one row by one row
-    out = one("survivor placed once", repeated(placed, [key]))
-    out = out.unionAll(one("every survivor placed", survivors.select(key).exceptAll(placed.select(key))))
-    out = out.unionAll(one("only survivors placed", placed.select(key).exceptAll(survivors.select(key))))
-    out = out.unionAll(one("labels unique", repeated(labels, label)))
-    return out.unionAll(one("amounts balance", differs))
+    """(rule, violations): each must be 0 for a plan that is whole.
+
+    Both sides meet once, as counts and sums of each key; what is short or over on a side is the difference of two multisets.
+    """
+    side = lambda df, s, p: df.select(F.col(key).alias("k"), F.lit(s).alias("s"), F.lit(p).alias("p"), F.col(amount).alias("a"))
+    keys = side(survivors, 1, 0).unionByName(side(placed, 0, 1)).groupBy("k").agg(
+        F.sum("s").alias("s"), F.sum("p").alias("p"), F.sum(F.when(F.col("s") == 1, F.col("a"))).alias("x"), F.sum(F.when(F.col("p") == 1, F.col("a"))).alias("y")
+    )
+    over = lambda a, b: F.coalesce(F.sum(F.greatest(F.col(a) - F.col(b), F.lit(0))), F.lit(0))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    rules = {"survivor placed once": F.count_if(F.col("p") > 1), "every survivor placed": over("s", "p"), "only survivors placed": over("p", "s"), "amounts balance": (total("x") != total("y")).cast("bigint")}
+    out = keys.agg(F.array(*[F.struct(F.lit(rule).alias("rule"), n.cast("bigint").alias("violations")) for rule, n in rules.items()]).alias("r")).select(F.inline("r"))
+    repeated = labels.groupBy(*label).count().where("count > 1").agg(F.count("*").alias("violations"))
+    return out.unionByName(repeated.select(F.lit("labels unique").alias("rule"), "violations"))

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import letters
+from ..sources.stages import staged
 
 
 def upto(part: list[str], order: list[str]):
@@ -153,6 +154,29 @@ def nearest_newer(rows: DataFrame, blocks: DataFrame, on: list[str], age: list[s
     return out.withColumns({f"newer_{c}": F.col(f"__m.{c}") for c in dict.fromkeys([*age, *carried])}).drop("__m")
 
 
+def ranked(df: DataFrame, part: list[str], order: list[str], name: str = "rank") -> DataFrame:
+    """``name``: a row's number in its partition, from 1, without the partition as one task.
+
+    Rows are dealt to ranges of (part, order), each a task's; the numbers of rows of a part in the ranges before come on top of
+    those within a range. Ranges are written with the rows once, so that a lost task can't draw them anew. ``order`` should tell all rows of a part apart; rows that it doesn't are numbered in any order.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = staged(df.repartitionByRange(ranges, *part, *order).withColumn("__range", F.spark_partition_id()))
+    upto = W.partitionBy(*part).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    counts = rows.groupBy(*part, "__range").agg(F.count("*").alias("__n"))
+    counts = counts.select(*[F.col(c).alias(f"__p_{c}") for c in part], F.col("__range").alias("__r"), F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__before"))
+    own = rows.withColumn("__own", F.row_number().over(W.partitionBy(*part, "__range").orderBy(*order)))
+    same = F.col("__range") == F.col("__r")
+    for c in part:
+        same &= own[c].eqNullSafe(F.col(f"__p_{c}"))
+    return own.join(counts, same).withColumn(name, F.col("__before") + F.col("__own")).select(*df.columns, name)
+
+
+def long_page_labels(df: DataFrame, page: list[str], page_number: Column, order: list[str], name: str = "label") -> DataFrame:
+    """The labels of ``page_labels`` for few pages of any number of rows each: a page isn't one task."""
+    return ranked(df, page, order, "__n").withColumn(name, F.concat(page_number.cast("string"), letters(F.col("__n") - 1))).drop("__n")
+
+
 def page_labels(df: DataFrame, page: list[str], page_number: Column, order: list, name: str = "label") -> DataFrame:
     """Page number and a letter by the place on the page."""
     n = F.row_number().over(W.partitionBy(*page).orderBy(*order)) - 1

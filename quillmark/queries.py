@@ -440,7 +440,7 @@ with l as (select l_orderkey % 50 page, l_orderkey, l_linenumber, l_partkey, l_s
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, page || case {LETTERS} end as label from l""")
 def page_labels_all(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem").withColumn("page", F.col("l_orderkey") % 50)
-    return S.page_labels(l, ["page"], F.col("page"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "label")
+    return S.long_page_labels(l, ["page"], F.col("page"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "label")
 
 
 # ---------------------------------------------------------------- placement
@@ -1031,6 +1031,40 @@ def bill_edits_long_headers(spark, sf_dir):
     return script.groupBy("doc_id").agg(*[F.count_if(c).alias(name) for name, c in kinds.items()])
 
 
+@query(ITEMS + """
+, d as (select * from i where k % 7 = 0 or (k % 3 = 0 and fund = 'General Fund')), s as (select * from d where k % 10 <> 3 and amount >= 1000)
+select doc_id, program, fund, count(*) survivors, cast(sum(cast(ceil(amount / 1000.0) * 1000 as bigint)) as bigint) total, cast(sum(amount) as bigint) old_total, 0 large_parts, 0 struck, 0 unknown_rules from s group by 1,2,3""")
+def bill_plan_nested(spark, sf_dir):
+    """The nested plan in parts of at most 50 survivors, written as JSON, read with its types and laid flat again."""
+    from .sources.stages import shared_path
+
+    p = PL.nested(bill_plan(spark, sf_dir), ["doc_id"], most=50)
+    at = shared_path(spark)
+    RS.write_json(p, at)
+    back = RS.read_json(spark, at, p.schema)
+    rows = PL.flat(back.withColumn("size", F.size("survivors")).withColumn("n_struck", F.size("struck_non_survivors")))
+    out = rows.groupBy("doc_id", "program", "fund").agg(
+        F.count("*").alias("survivors"), F.sum("new_amount").alias("total"), F.sum("old_amount").alias("old_total"), F.count_if(F.col("size") > 50).alias("large_parts"),
+        F.sum("n_struck").alias("struck"), F.count_if(~F.col("anchor_upper.kind").isin(*A.RULES)).alias("unknown_rules"),
+    )
+    return out
+
+
+@query(ITEMS + """
+select * from (values ('survivor placed once', 0), ('every survivor placed', 0), ('only survivors placed', 0), ('amounts balance', 0), ('labels unique', 0)) t("rule", violations)""")
+def bill_plan_invariants(spark, sf_dir):
+    """A plan of all bills against the survivors that the tables themselves tell of."""
+    from .sources.stages import staged
+
+    cols = ["doc_id", "program", "fund", "chapter_year", "approp_id", "approp_amount"]
+    key = F.to_json(F.struct(*cols)).alias("key")
+    i = items(spark, sf_dir).withColumn("approp_amount", F.col("amount")).withColumn("rounded", X.round_up(F.col("amount")))
+    own = i.where("(k % 7 = 0 or (k % 3 = 0 and fund = 'General Fund')) and k % 10 <> 3 and amount >= 1000").select(key, "rounded")
+    rows = staged(bill_plan(spark, sf_dir))
+    labels = rows.select("doc_id", "label", "group_no").distinct().select("doc_id", "label")
+    return A.invariants(own, labels, PL.placed(rows).select(key, "rounded"), "key", ["doc_id", "label"], "rounded")
+
+
 @query()
 def bill_plan_labels(spark, sf_dir):
     """Labels of the plan with their anchors; tests hold them against a walk over the records."""
