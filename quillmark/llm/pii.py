@@ -7,7 +7,7 @@ This is a permutation of the format, so equal values have equal pseudonyms in al
 different values of a format stay different. Card numbers get a new check digit, octets stay octets,
 days stay days of 1800 to 2199, credentials keep their alphabet, e-mail addresses their domain, phones and accounts their country.
 
-Letters that have no alphabet here move within the 128 code points around them. What leaves its format (a number range that
+Letters of other scripts move among the letters of their kind within the 128 code points around them, ideographs and Hangul among all of theirs. What leaves its format (a number range that
 isn't given out, a day that reads in the other order) is permuted again until it is back in it.
 
 Defined results: null stays null, and a text without valid candidates stays as it is; candidates that
@@ -16,6 +16,10 @@ fail validation stay; repeated rows are treated alike; all other columns pass th
 
 from __future__ import annotations
 
+import functools
+import json
+import sys
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -26,21 +30,25 @@ ROUNDS = 8
 WALK = 24
 LOW, HIGH, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
 LATIN, LATIN_HIGH = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
-#: First code points and sizes of stretches of letters: Greek, Cyrillic, Hebrew, kana, ideographs, Hangul.
-STRETCHES = ((0x3B1, 25), (0x410, 32), (0x430, 32), (0x5D0, 27), (0x3041, 86), (0x30A1, 90), (0x4E00, 20992), (0xAC00, 11172))
+#: First code points and sizes of stretches of letters that are alphabets of their own: ideographs, Hangul.
+STRETCHES = ((0x4E00, 20992), (0xAC00, 11172))
 NAMES = "password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key"
 #: Heads of credentials that are told by them.
-HEADS = "(?:AKIA|ASIA)(?=[A-Z0-9]{16}(?![A-Za-z0-9]))|gh[pousr]_(?=[A-Za-z0-9]{20})|glpat-(?=[A-Za-z0-9_-]{16})|xox[abprs]-(?=[A-Za-z0-9-]{10})|[sp]k[_-](?:live[_-]|test[_-])?(?=[A-Za-z0-9]{16})"
+HEADS = "(?:AKIA|ASIA)(?=[A-Z0-9]{16}(?![A-Za-z0-9]))|gh[pousr]_(?=[A-Za-z0-9]{20})|glpat-(?=[A-Za-z0-9_-]{16})|xox[abprs]-(?=[A-Za-z0-9-]{10})|[sp]k[_-](?:live[_-]|test[_-]|proj-)?(?=[A-Za-z0-9]{16})"
+#: Signed tokens and what follows the word bearer: their parts are cut by dots.
+DOTTED = r"eyJ(?=[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{8,}\.)|(?i:bearer) (?=[A-Za-z0-9._~+/-]{16})"
+ASSIGNED = rf"(?i:{NAMES})[\"']? ?[=:] ?[\"']?"
 
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@[\p{L}\p{M}\p{N}-]++(?:\.[\p{L}\p{M}\p{N}-]++)+"
 CARD = r"(?<![\p{L}\p{N}_])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[0-9]{3}([ -])[0-9]{6}\2[0-9]{5})(?![\p{L}\p{N}_])"
 PHONE = r"(?<![\p{L}\p{N}+(])(?:(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}|\+[0-9]{1,3}(?:[ .-][0-9]{2,8}){2,4}|\+[0-9]{9,14}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
-IPV6 = r"(?<![\p{L}\p{N}:])(?=[A-Fa-f:]*+[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])"
+#: Whole, or with ``::``: of three groups or more, or of two if the first has four digits and the address a decimal digit; ``a1::b2`` is a name.
+IPV6 = r"(?<![\p{L}\p{N}:_])(?:(?=[A-Fa-f:]*+[0-9])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){2,6}(?::[0-9A-Fa-f]{1,4}){1,5}|(?:[0-9A-Fa-f]{1,4}:)(?::[0-9A-Fa-f]{1,4}){2,6}|(?=[A-Fa-f:]*+[0-9])[0-9A-Fa-f]{4}::[0-9A-Fa-f]{1,4})(?![\p{L}\p{N}:_])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 DAY = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
-SECRET = rf"(?<![A-Za-z0-9])(?:(?:{HEADS})[A-Za-z0-9_-]+|(?i:{NAMES}) ?[=:] ?[\"']?[A-Za-z0-9+/_-]{{8,}})"
+SECRET = rf"(?<![A-Za-z0-9])(?:(?:{DOTTED})[A-Za-z0-9._~+/-]+|(?:{HEADS})[A-Za-z0-9_-]+|{ASSIGNED}[A-Za-z0-9+/_-]{{8,}})"
 ANY = "|".join(p.replace(r"\1", r"\k<a>").replace(r"\2", r"\k<b>").replace("([ -])", "(?<a>[ -])", 1).replace("([ -])", "(?<b>[ -])", 1) for p in (EMAIL, SECRET, IPV6, IPV4, DAY, SSN, IBAN, PHONE, CARD))
 #: Country calling codes of one and two digits; all others have three.
 CALLING = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
@@ -65,8 +73,29 @@ def code_point(n: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
+@functools.cache
+def block_alphabets() -> str:
+    """Letters and numerals of each 128 code points, small, large, others and numerals apart, as JSON; those with alphabets of their own aren't among them.
+
+    No character is in two of these, and each stays in its own, so moving within them is a permutation.
+    """
+    own = {*LOW, *HIGH, *DIGITS, *LATIN, *LATIN_HIGH}
+    out: dict[str, dict[str, str]] = {}
+    for n in range(0x80, sys.maxunicode + 1):
+        c = chr(n)
+        kind = unicodedata.category(c)
+        if kind[0] in "LN" and c not in own and not any(first <= n < first + size for first, size in STRETCHES):
+            group = kind if kind in ("Ll", "Lu") else kind[0]
+            block = out.setdefault(str(n // 128), {})
+            block[group] = block.get(group, "") + c
+    return json.dumps({k: list(v.values()) for k, v in out.items()})
+
+
 def shifted(half: Column, digest: Column, alphabets: tuple[str, ...], letters: bool = False) -> Column:
-    """Each character moved within its alphabet; with ``letters`` also those of other scripts."""
+    """Each character moved within its alphabet; with ``letters`` also those of other scripts. All else stays."""
+
+    def moved(c: Column, by: Column, alphabet: Column) -> Column:
+        return alphabet.substr((F.position(c, alphabet) - 1 + by) % F.length(alphabet) + 1, F.lit(1))
 
     def one(i: Column) -> Column:
         c = half.substr(i, F.lit(1))
@@ -74,12 +103,13 @@ def shifted(half: Column, digest: Column, alphabets: tuple[str, ...], letters: b
         out = c
         if letters:
             n = F.ascii(c)
-            start = n - n % 128
-            out = F.when(c.rlike(r"[\p{L}\p{N}]"), code_point(start + (n - start + by) % 128)).otherwise(c)
+            blocks = F.from_json(F.lit(block_alphabets()), "map<string,array<string>>")
+            own = F.get(F.filter(F.try_element_at(blocks, F.floor(n / 128).cast("string")), lambda a: F.position(c, a) > 0), F.lit(0))
+            out = F.when(n >= 0x80, F.coalesce(moved(c, by, own), c)).otherwise(c)
             for first, size in STRETCHES:
                 out = F.when(n.between(first, first + size - 1), code_point(first + (n - first + by) % size)).otherwise(out)
         for a in reversed(alphabets):
-            out = F.when(F.position(c, F.lit(a)) > 0, F.lit(a).substr((F.position(c, F.lit(a)) - 1 + by) % len(a) + 1, F.lit(1))).otherwise(out)
+            out = F.when(F.position(c, F.lit(a)) > 0, moved(c, by, F.lit(a))).otherwise(out)
         return out
 
     return F.when(F.length(half) == 0, "").otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.length(half)), one), ""))
@@ -235,11 +265,11 @@ def secret(v: Column, key: str) -> Column:
         rest = v.substr(F.length(head) + 1, F.length(v))
         return F.concat(head, F.when(rest.rlike("^[0-9a-f]+$"), permuted(rest, key, "hex", (HEX,))).otherwise(permuted(rest, key, "secret", (LOW, HIGH, DIGITS))))
 
-    return let(F.regexp_extract(v, rf"^({HEADS}|(?i:{NAMES}) ?[=:] ?[\"']?)", 1), new)
+    return let(F.regexp_extract(v, rf"^({DOTTED}|{HEADS}|{ASSIGNED})", 1), new)
 
 
 KINDS = {"email": email, "secret": secret, "ip": ipv4, "ipv6": ipv6, "day": day, "ssn": ssn, "iban": iban, "phone": phone, "card": card}
-_TELLS = {"email": "@", "secret": rf"^(?:{HEADS}|(?i:{NAMES}) ?[=:])", "ip": r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$", "ipv6": "^[0-9A-Fa-f]+:[0-9A-Fa-f:]+$", "day": r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})$", "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "iban": "^[A-Z]", "phone": r"^[+(]|^[0-9]{1,3}[ .-]?\(|^[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$"}
+_TELLS = {"email": "@", "secret": rf"^(?:{DOTTED}|{HEADS}|{ASSIGNED})", "ip": r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$", "ipv6": "^[0-9A-Fa-f]+:[0-9A-Fa-f:]+$", "day": r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})$", "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "iban": "^[A-Z]", "phone": r"^[+(]|^[0-9]{1,3}[ .-]?\(|^[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$"}
 
 
 def kind_of(v: Column) -> Column:

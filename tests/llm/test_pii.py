@@ -213,3 +213,33 @@ def test_a_long_value_and_a_null_column(spark):
     out = masked(spark, long, "@", "@@@", "....", "a@b", "1" * 5000)
     assert out[0].endswith("@example.org") and len(out[0]) == len(long) and out[0] != long
     assert out[1:] == ["@", "@@@", "....", "a@b", "1" * 5000]
+
+
+SCRIPTS = {
+    "Greek": "αβγάέήίόύώϊϋΐΰςΑΩ", "Cyrillic": "абвгжяёіїєґўАЯЁІ", "Devanagari": "अआइकखगघचजझञटड़ळह", "Arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهويءآأؤإئةى", "Hebrew": "אבגדהוזחטי", "kana": "あいうえおかがきアイウエオカガ", "ideographs": "中文字符測試漢語日本",
+    "Hangul": "가각간한국어", "Latin": "abcéèñßøąćęłńśźżĄŁ", "Georgian": "აბგდევზთ", "Thai": "กขคงจฉชซ", "mixed": "aяα中1",
+}
+
+
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_is_a_permutation_in_every_script(spark, script):
+    letters = SCRIPTS[script]
+    names = sorted({a + b + c for a in letters for b in letters for c in letters})[:4000]
+    df = spark.createDataFrame([(n,) for n in names], "v string")
+    got = df.select("v", pii.email(F.concat("v", F.lit("@x.org")), "k").alias("p")).collect()
+    out = {r["p"].removesuffix("@x.org") for r in got}
+    assert len(out) == len(names)
+    import unicodedata
+
+    kind = lambda s: [unicodedata.category(c) if unicodedata.category(c) in ("Ll", "Lu") else unicodedata.category(c)[0] for c in s]
+    assert all(kind(r["v"]) == kind(r["p"].removesuffix("@x.org")) for r in got)
+    assert sum(r["v"] != r["p"].removesuffix("@x.org") for r in got) > 0.95 * len(got)
+
+
+def test_more_secrets_and_addresses(spark):
+    hidden = ["hunterhunter9", "abcdefghijklmnop1234", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N", "Qm9iJ3MgYmVhcmVyIHRva2Vu", "dead:beef::cafe", "fe80::1", "иван", "विकास"]
+    texts = [f'{{"password": "{hidden[0]}"}}', f"sk-proj-{hidden[1]} ", hidden[2], f"Authorization: Bearer {hidden[3]}", f"at {hidden[4]} now", f"at {hidden[5]} now", f"{hidden[6]}@пример.рф", f"{hidden[7]}@x.org"]
+    for h, o in zip(hidden, masked(spark, *texts), strict=True):
+        assert h not in o, o
+    kept = ["std::a1::b2", "a1::b2", "x = a1::b2;", "the bearer of news", "password: short"]
+    assert masked(spark, *kept) == kept
