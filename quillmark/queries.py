@@ -878,6 +878,49 @@ def load_composite_grid(spark, sf_dir):
     return G.load_composite(customer_grid(spark, sf_dir, True)).drop("reapprop_amount")
 
 
+def customer_books(spark, sf_dir):
+    """Four books of customers: one with composite keys, two with plain columns in different orders, one that can't be loaded."""
+    c = table(spark, sf_dir, "customer").withColumn("b", F.col("c_nationkey") % 4)
+    c = S.positions(c, ["b"], ["c_custkey"], "r").withColumn("row", (F.col("r") + 3).cast("int"))
+    bal, year = F.floor("c_acctbal").cast("bigint").cast("string"), (2000 + F.col("c_nationkey") % 20).cast("string")
+    plain = {
+        "Budget Reference": F.concat(F.lit("A"), year, F.lit("02")), "Budgetary Program": F.concat(F.col("c_custkey").cast("string"), F.lit(" - Name")), "Budgetary Department": F.concat(F.col("c_nationkey").cast("string"), F.lit(" - Dept")),
+        "Original Approp Amount": F.lit("0"), "Current Appropriation": bal, "Undisbursed Balance": bal,
+    }
+    books = [
+        {"note": F.lit("x"), "Undisbursed Appropriation Balance": bal, "Composite_Key": F.concat_ws("|", "c_mktsegment", F.col("c_custkey").cast("string"), year, bal)}, plain, dict(reversed(plain.items())),
+        {k: v for k, v in plain.items() if not k.startswith("Und")},
+    ]
+    out = None
+    for n, cells in enumerate(books):
+        name, heads = F.lit(f"book{n}").alias("book"), list(cells)
+        at = lambda row, values, numeric: (name, F.lit("data").alias("sheet"), F.lit(1).alias("sheet_no"), row.alias("row"), F.array(*values).alias("cells"), F.lit(numeric).alias("is_number"))
+        data = c.where(F.col("b") == n).select(*at(F.col("row"), cells.values(), [h.startswith(("Und", "Ori", "Cur")) for h in heads]))
+        head = spark.range(1).select(*at(F.lit(2), map(F.lit, heads), [False] * len(heads)))
+        cover = spark.range(1).select(name, F.lit("cover").alias("sheet"), F.lit(0).alias("sheet_no"), F.lit(0).alias("row"), F.array(F.lit("contents")).alias("cells"), F.array(F.lit(False)).alias("is_number"))
+        for part in (data, head, cover):
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+BOOKS = """
+with c as (select cast(c_nationkey % 4 as int) b, c_custkey, row_number() over (partition by c_nationkey % 4 order by c_custkey) + 3 r, c_mktsegment seg, c_nationkey nk, cast(floor(c_acctbal) as bigint) bal from customer),
+s as (select b, coalesce(min(r) filter (bal <> 0 and r < 20), 12) m from c group by 1)
+"""
+
+
+@query(BOOKS + """
+select 'book' || c.b book, case when c.b = 0 then 'composite' else 'raw' end as mode, case when c.b = 0 then seg end agency, case when c.b > 0 then cast(nk as varchar) end dept_code, cast(c_custkey as varchar) approp_id, cast(2000 + nk % 20 as int) chapter_year,
+bal approp_amount, cast(0 as bigint) reapprop_amount, cast(bal as double) balance, r row_idx from c join s using (b) where c.b < 3 and r >= m""")
+def load_books(spark, sf_dir):
+    return G.load_books(customer_books(spark, sf_dir))
+
+
+@query("select 'book3' book, 2 sheets, 'no sheet has the columns that are needed' reason")
+def unfit_books(spark, sf_dir):
+    return G.unfit_books(customer_books(spark, sf_dir))
+
+
 @query("select c_mktsegment agency, c_custkey approp_id, c_acctbal balance from customer where c_mktsegment='BUILDING'")
 def load_legacy_lookup(spark, sf_dir):
     names = {"c_mktsegment": "agency", "c_custkey": "approp_id", "c_acctbal": "balance"}

@@ -1,6 +1,7 @@
 """Loading tables whose columns are found by what their heads say.
 
-A grid is (sheet, sheet_no, row, cells array<string>, is_number array<boolean>), as a spreadsheet comes.
+A grid is (sheet, sheet_no, row, cells array<string>, is_number array<boolean>), as a spreadsheet comes. A grid of many books
+has their names in ``book``; each book has columns of its own, which are bound to its rows when these are read.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import code_prefix, fiscal_year, number_or
+from ..operators.joins import dealt_join
 
 HEAD_ROWS, DATA_ROWS, DATA_START = 12, 20, 12
 # What the heads of the columns hold.
@@ -37,18 +39,23 @@ def head_says(cell: Column, groups, exclude=()) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def find_columns(grid: DataFrame, columns: dict = COLUMNS) -> DataFrame:
-    """(sheet, sheet_no, a column for each name): the first column whose head fits; null if none does."""
-    cells = grid.where(F.col("row") < HEAD_ROWS).select("sheet", "sheet_no", F.posexplode("cells").alias("col", "cell"))
+def find_columns(grid: DataFrame, columns: dict = COLUMNS, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, sheet, sheet_no, a column for each name): the first column whose head fits; null if none does."""
+    cells = grid.where(F.col("row") < HEAD_ROWS).select(*by, "sheet", "sheet_no", F.posexplode("cells").alias("col", "cell"))
     found = [F.min(F.when(head_says(F.col("cell"), groups, exclude), F.col("col"))).alias(name) for name, (groups, exclude) in columns.items()]
-    return cells.groupBy("sheet", "sheet_no").agg(*found)
+    return cells.groupBy(*by, "sheet", "sheet_no").agg(*found)
+
+
+def _fit(columns: DataFrame) -> DataFrame:
+    """Sheets with a balance and either a composite key or all plain columns, and their ``mode``."""
+    plain = F.col("bud_ref").isNotNull() & F.col("bud_prog").isNotNull() & F.col("bud_dept").isNotNull()
+    fit = columns.where(F.col("balance").isNotNull() & (F.col("composite").isNotNull() | plain))
+    return fit.withColumn("mode", F.when(F.col("composite").isNotNull(), "composite").otherwise("raw"))
 
 
 def choose_sheet(grid: DataFrame) -> DataFrame:
     """The first sheet with a balance and either a composite key or all plain columns, as (mode, sheet, columns); one row, or an error."""
-    plain = F.col("bud_ref").isNotNull() & F.col("bud_prog").isNotNull() & F.col("bud_dept").isNotNull()
-    fit = find_columns(grid).where(F.col("balance").isNotNull() & (F.col("composite").isNotNull() | plain))
-    fit = fit.withColumn("mode", F.when(F.col("composite").isNotNull(), "composite").otherwise("raw"))
+    fit = _fit(find_columns(grid))
     one = fit.agg(F.min_by(F.struct("mode", "sheet", *COLUMNS), "sheet_no").alias("s"))
     kind = one.schema["s"].dataType
     return one.select(F.coalesce("s", F.raise_error(F.lit("no sheet has the columns that are needed")).cast(kind)).alias("s")).select("s.*")
@@ -96,3 +103,39 @@ def load_legacy(table: DataFrame, names: dict[str, str], agency: str | None = No
     """A lookup table under other names; with ``agency``, its rows only."""
     out = table.withColumnsRenamed(names)
     return out.where(F.col("agency") == agency) if agency else out
+
+
+def choose_sheets(grid: DataFrame, book: str = "book") -> DataFrame:
+    """(book, mode, sheet, columns): the first fitting sheet of each book; books without one aren't in it."""
+    fit = _fit(find_columns(grid, by=(book,)))
+    return fit.groupBy(book).agg(F.min_by(F.struct("mode", "sheet", *COLUMNS), "sheet_no").alias("s")).select(book, "s.*")
+
+
+def unfit_books(grid: DataFrame, book: str = "book") -> DataFrame:
+    """(book, sheets, reason) of the books that no sheet of which can be loaded; the others are loaded none the less."""
+    sheets = grid.groupBy(book).agg(F.count_distinct("sheet").alias("sheets"))
+    return sheets.join(choose_sheets(grid, book), book, "left_anti").withColumn("reason", F.lit("no sheet has the columns that are needed"))
+
+
+def load_books(grid: DataFrame, book: str = "book") -> DataFrame:
+    """(book, mode, agency, dept_code, approp_id, chapter_year, approp_amount, reapprop_amount, balance, row_idx) of all books that fit.
+
+    Heads differ from book to book, so a row carries the places of its own book's columns and takes its cells by them; rows of a
+    large book are dealt out. Composite books give the agency, raw ones the code of the department. ``unfit_books`` tells of the rest.
+    """
+    rows = dealt_join(grid, choose_sheets(grid, book), [book, "sheet"], "row")
+    start = first_data_row(rows, F.col("balance"), [book])
+    rows = dealt_join(rows, start, [book], "row").where("row >= start")
+    composite = F.col("mode") == "composite"
+    parts = F.when(composite, F.split(_cell("composite"), r"\|"))
+    part = lambda k: F.trim(F.get("parts", F.lit(k)))
+    whole = F.get("parts", F.lit(3)).isNotNull()
+    plain = _cell("bud_ref").isNotNull() & _cell("bud_prog").isNotNull()
+    rows = rows.withColumn("parts", parts).where(F.coalesce(F.when(composite, whole).otherwise(plain), F.lit(False)))
+    out = rows.select(
+        book, "mode", part(0).alias("agency"), F.when(~composite, code_prefix(_cell("bud_dept"))).alias("dept_code"), F.when(composite, F.coalesce(part(1), F.lit(""))).otherwise(code_prefix(_cell("bud_prog"))).alias("approp_id"),
+        F.when(composite, number_or(part(2)).cast("int")).otherwise(fiscal_year(_cell("bud_ref"))).alias("chapter_year"),
+        F.when(composite, number_or(part(3))).otherwise(number_or(_cell("orig_amt"), _cell("curr_amt"))).alias("approp_amount"),
+        F.lit(0).cast("bigint").alias("reapprop_amount"), _cell("balance").try_cast("double").alias("balance"), F.col("row").cast("bigint").alias("row_idx"),
+    )
+    return out.where("chapter_year is not null")
