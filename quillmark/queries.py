@@ -150,9 +150,9 @@ def reconcile_text(spark, sf_dir):
 
 LOOKUP = """
 with r as (select o_orderkey rec_idx, o_orderpriority agency, case when o_orderkey % 6 = 0 then '' else cast(o_custkey % 97 as varchar) end approp_id, cast(year(o_orderdate) as int) chapter_year,
-  cast(floor(o_totalprice/1000) as bigint) approp_amount, cast(o_orderkey % 3 as bigint) reapprop_amount from orders where o_orderkey % 7 = 0),
+  cast(floor(o_totalprice/1000) as bigint) approp_amount, cast(o_orderkey % 3 as bigint) reapprop_amount from orders),
 t as (select o_orderkey row_idx, o_orderpriority agency, case when o_orderkey % 6 = 0 then '' else cast(o_custkey % 97 as varchar) end approp_id, cast(year(o_orderdate) as int) chapter_year,
-  cast(floor(o_totalprice/1000) as bigint) approp_amount, cast(o_orderkey % 3 as bigint) reapprop_amount, case when o_orderkey % 10 = 1 then null else floor(o_totalprice/50) end balance from orders where o_orderkey % 7 = 1 and o_orderkey % 4 < 3),
+  cast(floor(o_totalprice/1000) as bigint) approp_amount, cast(o_orderkey % 3 as bigint) reapprop_amount, case when o_orderkey % 10 = 1 then null else floor(o_totalprice/50) end balance from orders),
 ti as (select * from t where approp_id <> ''),
 k1 as (select agency, approp_id, chapter_year, approp_amount, (min(struct_pack(k := row_idx, v := balance))).v b from ti group by 1,2,3,4),
 k2 as (select agency, approp_id, chapter_year, (min(struct_pack(k := row_idx, v := balance))).v b from ti group by 1,2,3),
@@ -173,12 +173,12 @@ o as (select rec_idx, case when has_id then coalesce(b1,b2,b3,b4) else coalesce(
 """
 
 
-def balances(spark, sf_dir, of: str = "o_orderkey % 7 = 0", among: str = "o_orderkey % 7 = 1 and o_orderkey % 4 < 3"):
+def balances(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     base = [F.col("o_orderpriority").alias("agency"), F.when(F.col("o_orderkey") % 6 == 0, "").otherwise((F.col("o_custkey") % 97).cast("string")).alias("approp_id"), F.year("o_orderdate").alias("chapter_year"), F.floor(F.col("o_totalprice") / 1000).cast("bigint").alias("approp_amount"), (F.col("o_orderkey") % 3).alias("reapprop_amount")]
-    rows = o.where(of).select(F.col("o_orderkey").alias("rec_idx"), F.lit("dropped").alias("status"), *base)
+    rows = o.select(F.col("o_orderkey").alias("rec_idx"), F.lit("dropped").alias("status"), *base)
     balance = F.when(F.col("o_orderkey") % 10 == 1, None).otherwise(F.floor(F.col("o_totalprice") / 50)).cast("double").alias("balance")
-    return rows, o.where(among).select(F.col("o_orderkey").alias("row_idx"), *base, balance)
+    return rows, o.select(F.col("o_orderkey").alias("row_idx"), *base, balance)
 
 
 @query(LOOKUP + """
@@ -194,27 +194,23 @@ def lookup_summary(spark, sf_dir):
     return L.balance_summary(L.attach_balance(*balances(spark, sf_dir)))
 
 
-#: The same over all orders on both sides.
-LOOKUP_ALL = LOOKUP.replace(" where o_orderkey % 7 = 0)", ")").replace(" where o_orderkey % 7 = 1 and o_orderkey % 4 < 3)", ")")
-
-
-@query(LOOKUP_ALL + """
+@query(LOOKUP + """
 select rec_idx, cast(balance as double) balance, method, case when balance > 0 then cast(ceil(balance/1000)*1000 as bigint) else 0 end rounded, coalesce(balance >= 1000, false) insert_eligible from o""")
 def lookup_cascade_all(spark, sf_dir):
-    return L.attach_balance(*balances(spark, sf_dir, "true", "true")).select("rec_idx", "balance", "method", "rounded", "insert_eligible")
+    return L.attach_balance(*balances(spark, sf_dir)).select("rec_idx", "balance", "method", "rounded", "insert_eligible")
 
 
-@query(LOOKUP_ALL + """
+@query(LOOKUP + """
 select count(*) n, count(balance) matched, count(*) - count(balance) unmatched, count(*) filter (balance = 0) zero, count(*) filter (balance > 0 and balance < 1000) small,
 count(*) filter (balance >= 1000) eligible, cast(coalesce(sum(ceil(balance/1000)*1000) filter (balance >= 1000),0) as bigint) rounded_total from o""")
 def lookup_summary_all(spark, sf_dir):
-    return L.balance_summary(L.attach_balance(*balances(spark, sf_dir, "true", "true")))
+    return L.balance_summary(L.attach_balance(*balances(spark, sf_dir)))
 
 
-@query(LOOKUP_ALL + "select rec_idx, agency, approp_id, chapter_year, approp_amount from r where rec_idx in (select rec_idx from o where balance is null) order by rec_idx limit 15")
+@query(LOOKUP + "select rec_idx, agency, approp_id, chapter_year, approp_amount from r where rec_idx in (select rec_idx from o where balance is null) order by rec_idx limit 15")
 def unmatched_sample(spark, sf_dir):
     """The report of records without a balance shows 15 of them."""
-    rows = L.attach_balance(*balances(spark, sf_dir, "true", "true"))
+    rows = L.attach_balance(*balances(spark, sf_dir))
     return L.unmatched_sample(rows, ["rec_idx"]).select("rec_idx", "agency", "approp_id", "chapter_year", "approp_amount")
 
 
@@ -229,7 +225,7 @@ def lookup_source_priority(spark, sf_dir):
 
 LEARNED = """
 with k as (select c_mktsegment agency, o_orderkey id, cast(year(o_orderdate) as int) y, cast(round(o_totalprice) as bigint) a from orders join customer on o_custkey=c_custkey),
-c as (select cast(c_nationkey % 7 as varchar) code, o_orderkey id, cast(year(o_orderdate) as int) y, cast(round(o_totalprice) as bigint) a from orders join customer on o_custkey=c_custkey where o_orderkey % 2 = 0),
+c as (select cast(c_nationkey % 7 as varchar) code, o_orderkey id, cast(year(o_orderdate) as int) y, cast(round(o_totalprice) as bigint) a from orders join customer on o_custkey=c_custkey),
 v as (select agency, code, count(*) n, count(*) filter (a >= 400000) big from k join c using (id, y, a) group by 1,2),
 w as (select *, max(big) over (partition by agency) > 0 bb from v),
 x as (select agency, code, bb, case when bb then big else n end v from w),
@@ -242,20 +238,20 @@ select cast(c_nationkey % 7 as varchar) code, coalesce(m.agency, '') agency, cou
 
 @query(LEARNED)
 def learned_mapping(spark, sf_dir):
-    return mapping_of(spark, sf_dir, "o_orderkey % 2 = 0")
+    return mapping_of(spark, sf_dir)
 
 
-@query(LEARNED.replace(" where o_orderkey % 2 = 0)", ")"))
+@query(LEARNED)
 def learned_mapping_all(spark, sf_dir):
-    return mapping_of(spark, sf_dir, "true")
+    return mapping_of(spark, sf_dir)
 
 
-def mapping_of(spark, sf_dir, voting: str):
+def mapping_of(spark, sf_dir):
     cust = table(spark, sf_dir, "customer")
     j = table(spark, sf_dir, "orders").join(cust, F.col("o_custkey") == F.col("c_custkey"))
     on = [F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("y"), F.round("o_totalprice").cast("bigint").alias("a")]
     code = (F.col("c_nationkey") % 7).cast("string").alias("code")
-    m = L.learned_mapping(j.where(voting).select(code, *on), j.select(F.col("c_mktsegment").alias("agency"), *on), ["id", "y", "a"], "code", "agency", "a", large=400_000)
+    m = L.learned_mapping(j.select(code, *on), j.select(F.col("c_mktsegment").alias("agency"), *on), ["id", "y", "a"], "code", "agency", "a", large=400_000)
     return L.apply_mapping(cust.select(code), m, "code", "agency").groupBy("code", "agency").agg(F.count("*").alias("n"))
 
 
@@ -423,16 +419,15 @@ def next_existing_group(spark, sf_dir):
     return S.next_existing(ranked, there, ["p_brand"], "p_partkey").select("p_brand", "p_partkey", "exists", "next_key")
 
 
-@query("""
-with l as (select l_orderkey % 50 page, l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() over (partition by l_orderkey % 50 order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 k from lineitem where l_quantity = 1)
-select l_orderkey, l_linenumber, l_partkey, l_suppkey, page || case when k < 26 then chr(cast(65+k as int)) when k < 702 then chr(cast(65+(k-26)//26 as int)) || chr(cast(65+(k-26)%26 as int))
-  else chr(cast(65+(k-702)//676 as int)) || chr(cast(65+((k-702)//26)%26 as int)) || chr(cast(65+(k-702)%26 as int)) end as label from l""")
-def page_labels(spark, sf_dir):
-    l = table(spark, sf_dir, "lineitem").where("l_quantity = 1").withColumn("page", F.col("l_orderkey") % 50)
-    return S.page_labels(l, ["page"], F.col("page"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "label")
+LETTERS = " ".join(f"when k < {sum(26**i for i in range(1, n + 1))} then " + " || ".join(f"chr(cast(65 + (k - {sum(26**i for i in range(1, n))}) // {26**p} % 26 as int))" for p in range(n - 1, -1, -1)) for n in range(1, 8))
 
 
-LETTERS = " ".join(f"when k < {sum(26**i for i in range(1, n + 1))} then " + " || ".join(f"chr(cast(65 + (k - {sum(26**i for i in range(1, n))}) // {26**p} % 26 as int))" for p in range(n - 1, -1, -1)) for n in range(1, 8))
+@query(f"""
+with l as (select l_orderkey % 50 page, l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() over (partition by l_orderkey % 50 order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 k from lineitem)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, page || case {LETTERS} end as label from l""")
+def page_labels(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").withColumn("page", F.col("l_orderkey") % 50)
+    return S.page_labels(l, ["page"], F.col("page"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "label")
 
 
 @query(f"""
@@ -512,10 +507,10 @@ def range_widen(spark, sf_dir):
 
 
 @query("""
-with s as (select l_suppkey, l_orderkey, cast(round(l_extendedprice) as bigint) a, year(l_shipdate) y from lineitem where l_quantity >= 45)
+with s as (select l_suppkey, l_orderkey, cast(round(l_extendedprice) as bigint) a, year(l_shipdate) y from lineitem)
 select l_suppkey || '' as label, count(*) n, cast(sum(a) as bigint) total, list_sort(list_distinct(list(cast(y as int)))) as years from s group by 1""")
 def nested_plan(spark, sf_dir):
-    s = table(spark, sf_dir, "lineitem").where("l_quantity >= 45")
+    s = table(spark, sf_dir, "lineitem")
     one = F.struct("l_orderkey", "l_linenumber", F.round("l_extendedprice").cast("bigint").alias("new_amount"), F.year("l_shipdate").alias("chapter_year"))
     plan = s.groupBy(F.col("l_suppkey").cast("string").alias("label")).agg(F.array_sort(F.collect_list(one)).alias("survivors"))
     return Q.brief(plan)
@@ -769,9 +764,9 @@ def flag_summary(spark, sf_dir):
     return Q.flag_summary(audit_flags(spark, sf_dir), "doc_id")
 
 
-@query("""select doc_id, ['no-html'] tags from labels where doc_id % 4 = 0 and doc_id not in (select doc_id from documents where n_chars > 1000)""")
+@query("""select doc_id, ['no-html'] tags from labels where doc_id not in (select doc_id from documents where n_chars > 1000)""")
 def plan_without_lines(spark, sf_dir):
-    plan = table(spark, sf_dir, "labels").where("doc_id % 4 = 0").select("doc_id")
+    plan = table(spark, sf_dir, "labels").select("doc_id")
     return Q.without_lines(plan, table(spark, sf_dir, "documents").where("n_chars > 1000"), ["doc_id"])
 
 
