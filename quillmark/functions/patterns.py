@@ -16,6 +16,7 @@ PROGRAM = rf"(?U)^({PROGRAM_NAME})\s*$"
 PROGRAM_AMOUNT = rf"(?U)^({PROGRAM_NAME})\s*\.{{2,}}\s*\$?[\d,]+\s*$"
 PROGRAM_SECOND_LINE = r"(?U)^(PROGRAM|\([A-Z]+(?:\s+[A-Z]+)?\))\s*\.{2,}\s*\$?[\d,]+\s*$"
 CAPS_LINE = r"(?U)^[A-Z][A-Z0-9 ,&'\-/]*[A-Z]\s*$"
+# The names that the documents' alternation of fund families stands for, as lines must equal one of them.
 FUND_FAMILIES = ("General Fund", "Special Revenue Funds - Federal", "Special Revenue Funds - Other", "Capital Projects Fund", "Capital Projects Funds", "Capital Projects Fund - Federal", "Capital Projects Fund - Other", "Capital Projects Funds - Federal", "Capital Projects Funds - Other", "Enterprise Funds", "Fiduciary Funds")
 CHAPTER_YEAR = r"(?iU)^(?:By|The\s+appropriations?\s+made\s+by)\s+chapter\s+\d+.*?of\s+the\s+laws\s+of\s+(\d{4})(?:.*?as\s+(?:amended|added)\s+by\s+chapter\s+\d+.*?of\s+the\s+laws\s+of\s+(\d{4}))?"
 LAWS_OF = r"(?U)of\s+the\s+laws\s+of\s+(\d{4})"
@@ -23,7 +24,7 @@ CARRIED_AMOUNT = r"(?U)\(re\.\s*\$?([\d,]+)\s*\)"
 END_AMOUNT = r"(?U)\.{2,}\s*\$?([\d,]+)\s*$"
 DOTS_AMOUNT = r"(?U)\.{2,}\s*\$?([\d,]+)"
 AMOUNT_DOTS = r"(?U)\$?([\d,]+)\s+\.{2,}"
-RECORD_ID = r"\(([0-9]{5})\)"
+RECORD_ID = r"\((\d{5})\)"
 SCHEDULE_ROW = r"(?U)\.{2,}\s*\$?[\d,]+\s+\$?[\d,]+\s*$"
 NOISE_LINE = r"(?U)^(Program account subtotal\b|All Funds\b|[-=]{5,}$|SCHEDULE\b|Total of sub-schedule\b|sub-schedule\s*$)"
 SUBSCHEDULE_OPEN = r"(?iU)^sub-schedule\s*$"
