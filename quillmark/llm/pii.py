@@ -30,8 +30,8 @@ ROUNDS = 8
 WALK = 24
 LOW, HIGH, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
 LATIN, LATIN_HIGH = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
-#: First code points and sizes of stretches of letters that are alphabets of their own: ideographs, Hangul.
-STRETCHES = ((0x4E00, 20992), (0xAC00, 11172))
+#: Code points in a row that are all letters of no case, from which on they are one alphabet: ideographs, Hangul and the like.
+STRETCH = 200
 NAMES = "password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key"
 #: Heads of credentials that are told by them.
 HEADS = "(?:AKIA|ASIA)(?=[A-Z0-9]{16}(?![A-Za-z0-9]))|gh[pousr]_(?=[A-Za-z0-9]{20})|glpat-(?=[A-Za-z0-9_-]{16})|xox[abprs]-(?=[A-Za-z0-9-]{10})|[sp]k[_-](?:live[_-]|test[_-]|proj-)?(?=[A-Za-z0-9]{16})"
@@ -73,6 +73,21 @@ def code_point(n: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
+@functools.cache
+def stretches() -> tuple[tuple[int, int], ...]:
+    """First code points and sizes of the long runs of letters of no case."""
+    out, first = [], None
+    for n in range(0x80, sys.maxunicode + 2):
+        inside = n <= sys.maxunicode and unicodedata.category(chr(n)) == "Lo"
+        if inside and first is None:
+            first = n
+        elif not inside and first is not None:
+            if n - first >= STRETCH:
+                out.append((first, n - first))
+            first = None
+    return tuple(out)
+
+
 @functools.cache
 def block_alphabets() -> str:
     """Letters and numerals of each 128 code points, small, large, others and numerals apart, as JSON; those with alphabets of their own aren't among them.
@@ -80,15 +95,16 @@ def block_alphabets() -> str:
     No character is in two of these, and each stays in its own, so moving within them is a permutation.
     """
     own = {*LOW, *HIGH, *DIGITS, *LATIN, *LATIN_HIGH}
+    own.update(chr(n) for first, size in stretches() for n in range(first, first + size))
     out: dict[str, dict[str, str]] = {}
     for n in range(0x80, sys.maxunicode + 1):
         c = chr(n)
         kind = unicodedata.category(c)
-        if kind[0] in "LN" and c not in own and not any(first <= n < first + size for first, size in STRETCHES):
+        if kind[0] in "LN" and c not in own:
             group = kind if kind in ("Ll", "Lu") else kind[0]
             block = out.setdefault(str(n // 128), {})
             block[group] = block.get(group, "") + c
-    return json.dumps({k: list(v.values()) for k, v in out.items()})
+    return json.dumps({k: list(v.values()) for k, v in out.items()}, ensure_ascii=False)
 
 
 def shifted(half: Column, digest: Column, alphabets: tuple[str, ...], letters: bool = False) -> Column:
@@ -105,9 +121,9 @@ def shifted(half: Column, digest: Column, alphabets: tuple[str, ...], letters: b
             n = F.ascii(c)
             blocks = F.from_json(F.lit(block_alphabets()), "map<string,array<string>>")
             own = F.get(F.filter(F.try_element_at(blocks, F.floor(n / 128).cast("string")), lambda a: F.position(c, a) > 0), F.lit(0))
-            out = F.when(n >= 0x80, F.coalesce(moved(c, by, own), c)).otherwise(c)
-            for first, size in STRETCHES:
-                out = F.when(n.between(first, first + size - 1), code_point(first + (n - first + by) % size)).otherwise(out)
+            runs = F.from_json(F.lit(json.dumps([{"a": first, "size": size} for first, size in stretches()])), "array<struct<a:int,size:int>>")
+            run = F.get(F.filter(runs, lambda x: (n >= x["a"]) & (n < x["a"] + x["size"])), F.lit(0))
+            out = F.when(n >= 0x80, F.coalesce(moved(c, by, own), code_point(run["a"] + (n - run["a"] + by) % run["size"]), c)).otherwise(c)
         for a in reversed(alphabets):
             out = F.when(F.position(c, F.lit(a)) > 0, moved(c, by, F.lit(a))).otherwise(out)
         return out
