@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -66,16 +68,12 @@ def bounded(batches: Iterable[pa.RecordBatch], text: int, at_once: int = AT_ONCE
             a = z
 
 
-#: Bytes of one range of ids, so that a range's size doesn't grow with the table.
-RANGE = 64 << 20
+#: Bytes of one range of ids, and most ranges: a table of more than their product has larger ranges, as each range is a task.
+RANGE, MOST_RANGES = 64 << 20, 1 << 15
 #: Tasks that the rows of one key are dealt to in a join that a key may be hot in.
 SALTS = 16
 
 
-def range_count(spark: SparkSession, size: float | None) -> int:
-    return max(parts(spark), int((size or 0) // RANGE) + 1)
-
-
 def hot_join(rows: DataFrame, table: DataFrame, key: list[str], by: str, how: str = "inner") -> DataFrame:
     """``rows`` joined with ``table``, which has one row for a key; a key's rows are dealt out by ``by``.
 
@@ -86,24 +84,60 @@ def hot_join(rows: DataFrame, table: DataFrame, key: list[str], by: str, how: st
     return salted.join(heads, [*key, "__salt"], how).drop("__salt")
 
 
-def id_ranges(df: DataFrame, id_col: str, n: int) -> list[int]:
-    """At most ``n`` - 1 ascending values that cut the ids into ranges of about equal row counts.
+@dataclass(frozen=True)
+class Ranges:
+    """Ranges of ascending ids: the first id of each, and the weight of all rows before it. A null id comes before all others."""
+
+    first: np.ndarray
+    before: np.ndarray
+    nulls: bool
+
+    def __len__(self) -> int:
+        return len(self.before)
+
+    def of(self, id_col: str) -> Column:
+        """Number of the range that an id falls in."""
+        first, nulls = self.first, self.nulls
+
+        @F.pandas_udf("int")
+        def place(ids):
+            import pandas as pd
+
+            got = np.searchsorted(first, ids.fillna(0).to_numpy(np.int64), "right") - 1 + nulls
+            return pd.Series(np.where(ids.isna(), 0, got).astype(np.int32))
+
+        return place(F.col(id_col).cast("long"))
+
+    def heads(self, spark: SparkSession) -> DataFrame:
+        """(head, part): the first id of each range, as many rows as there are ranges."""
+        ids = pa.array([*[None] * self.nulls, *self.first.tolist()], pa.int64())
+        return spark.createDataFrame(pa.table({"head": ids, "part": pa.array(np.arange(len(self)), pa.int32())}))
+
+
+def id_ranges(rows: DataFrame, size: int = RANGE) -> Ranges:
+    """Ranges of about ``size`` of the weights in ``rows`` (id, w), where ids are integers; an id of more weight is a range of its own.
 
-    ``n`` is a number of partitions, so what comes to the driver doesn't grow with a range's rows.
+    Weights are summed along the ids inside of sorted partitions and from one partition to the next, so no task sees more than its part. There are at most
+    MOST_RANGES ranges and one more for each partition, so what comes to the driver, 16 bytes a range, doesn't grow beyond that.
     """
-    if n < 2:
-        return []
-    shares = [k / n for k in range(1, n)]
-    cuts = df.agg(F.percentile_approx(id_col, shares, 10 * n).alias("c")).first()["c"]
-    return sorted(set(cuts or []))
-
-
-def range_of(id_col: str, cuts: list[int]):
-    """Number of the range that an id falls in; a null id counts as the smallest."""
-    if not cuts:
-        return F.lit(0)
-    if len(cuts) <= 64:  # compiled comparisons
-        return sum((F.when(F.col(id_col) >= c, 1).otherwise(0) for c in cuts[1:]), F.when(F.col(id_col) >= cuts[0], 1).otherwise(0)).cast("int")
-    # width_bucket needs equal widths, so the cuts are searched: the first element above the id
-    above = F.array_position(F.transform(F.array(*map(F.lit, cuts)), lambda c: F.coalesce(F.col(id_col) < c, F.lit(True))), F.lit(True))
-    return F.when(above == 0, F.lit(len(cuts))).otherwise(above - 1).cast("int")
+    spark = rows.sparkSession
+    at = scratch(spark)
+    each = rows.groupBy("id").agg(F.sum("w").alias("w")).repartitionByRange(parts(spark), "id")
+    each = staged(each.select("id", "w", F.spark_partition_id().alias("p")), at)  # the partitions' bounds are drawn once
+    sums = sorted(each.groupBy("p").agg(F.sum("w").alias("w")).collect())
+    size = max(size, sum(r["w"] for r in sums) // MOST_RANGES + 1)
+    upto, offset = 0, {}
+    for r in sums:
+        offset[r["p"]], upto = upto, upto + r["w"]
+    along = W.partitionBy("p").orderBy("id")
+    told = each.withColumn("b", F.sum("w").over(along.rowsBetween(W.unboundedPreceding, 0)) - F.col("w"))
+    k = F.floor(F.col("b") / size)
+    cut = told.withColumn("new", F.coalesce(k != F.lag(k).over(along), F.lit(True))).where("new")
+    got = cut.select("p", F.col("id").cast("long").alias("id"), F.col("b").cast("long").alias("b")).toArrow().sort_by("id")  # nulls are last
+    discard(spark, at)
+    first = got["id"].to_pylist()
+    before = [offset[p] + b for p, b in zip(got["p"].to_pylist(), got["b"].to_pylist(), strict=True)]
+    nulls = bool(first) and first[-1] is None
+    if nulls:
+        first, before = first[:-1], [before[-1], *before[:-1]]
+    return Ranges(np.array(first, np.int64), np.array(before, np.int64), nulls)

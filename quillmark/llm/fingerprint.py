@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_ranges, range_count, range_of
+from .common import id_ranges
 
 WIDTH, FRACTION = 16, 16
 
@@ -95,20 +95,12 @@ def edited(text: str, following: str) -> str:
 
 def with_following(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(part, guest, id, text): id ranges, each ended by a guest, the first row of the next range (of the first for the last)."""
-    spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n = range_count(spark, base.agg(F.sum(F.octet_length("text"))).first()[0])
-    base = base.withColumn("part", range_of("id", id_ranges(base, "id", n)))
-    # one row for each range comes to the driver
-    heads = sorted((r["part"], None if r["nulls"] else r["low"]) for r in base.groupBy("part").agg(F.min("id").alias("low"), F.max(F.col("id").isNull()).alias("nulls")).collect())
-    host = {part: heads[k - 1][0] for k, (part, _) in enumerate(heads)}
-    low = [i for _, i in heads if i is not None]
-    is_head = F.col("id").isin(low) | F.lit(False) if low else F.lit(False)
-    if any(i is None for _, i in heads):
-        is_head = F.coalesce(is_head, F.lit(False)) | F.col("id").isNull()
-    guests = base.where(is_head).groupBy("part", "id").agg(F.min("text").alias("text"))
-    to = F.create_map(*[F.lit(x) for pair in host.items() for x in pair]) if host else F.create_map(F.lit(-1), F.lit(-1))
-    guests = guests.select("id", "text", F.element_at(to, F.col("part")).alias("part"), F.lit(True).alias("guest"))
+    ranges = id_ranges(base.select("id", F.octet_length("text").alias("w")))
+    n = max(1, len(ranges))
+    heads = F.broadcast(ranges.heads(docs.sparkSession).select("head", F.pmod(F.col("part") - 1, F.lit(n)).alias("part")))
+    guests = base.join(heads, F.col("id").eqNullSafe(F.col("head"))).groupBy("part", "id").agg(F.min("text").alias("text")).withColumn("guest", F.lit(True))
+    base = base.withColumn("part", ranges.of("id"))
     both = base.withColumn("guest", F.lit(False)).unionByName(guests)
     return both.repartitionById(n, "part").sortWithinPartitions("part", "guest", "id", "text").select("part", "guest", "id", "text")
 

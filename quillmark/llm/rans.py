@@ -28,11 +28,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import bounded, discard, id_ranges, range_count, range_of, scratch, staged
+from .common import RANGE, bounded, discard, id_ranges, scratch, staged
 
 SCALE, LANES, EVERY = 18, 1024, 256
 #: Tokens of a block, but for a longer document, which is a block of its own.
@@ -255,13 +256,9 @@ def write(docs: DataFrame, path: str, to: str, end_id: int = 2, id_col: str = "d
     at = scratch(spark)
     tokens = staged(tokenised(docs, path, end_id, id_col, text_col, added), f"{at}/tokens", compression="zstd")
     freq = scaled(counts_of(tokens))
-    n_files = range_count(spark, 4 * (tokens.agg(F.sum("n")).first()[0] or 0))
-    cuts = id_ranges(tokens, "id", n_files)
-    tokens = tokens.withColumn("file", range_of("id", cuts))
-    before, upto = {}, 0
-    for r in sorted(tokens.groupBy("file").agg(F.sum("n").alias("n")).collect()):  # a row for each file
-        before[r["file"]] = upto
-        upto += r["n"]
+    ranges = id_ranges(tokens.select("id", F.col("n").alias("w")), RANGE // 4)
+    n_files, before = max(1, len(ranges)), ranges.before
+    tokens = tokens.withColumn("file", ranges.of("id"))
     kind = dict(docs.dtypes)[id_col]
     arrow_id = tokens.select("id").schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -285,7 +282,7 @@ def write(docs: DataFrame, path: str, to: str, end_id: int = 2, id_col: str = "d
                 if ids and (f != file or held + len(x) > BLOCK):
                     yield flush()
                 if f != file:
-                    file, block, start = f, 0, before[f]
+                    file, block, start = f, 0, int(before[f])
                 ids.append(i)
                 ends.append(x)
                 held += len(x)
@@ -324,15 +321,22 @@ def _chosen(spark: SparkSession, at: str, only: Column) -> DataFrame:
     freq = frequencies(spark, at)
     blocks = spark.read.parquet(f"{at}/blocks")
     kind = dict(blocks.dtypes)["doc_ids"][len("array<") : -1]
-    first = F.aggregate(F.slice("n_tokens", 1, F.col("k")), F.lit(0).cast("long"), lambda s, x: s + x)
-    rows = blocks.select("start", "n_tokens", "payload", F.posexplode("doc_ids").alias("k", "doc_id")).where(only)
-    rows = rows.select("doc_id", (F.col("start") + first).alias("start"), F.get("n_tokens", "k").alias("n_tokens"), first.alias("a"), "payload")
+    # ids alone are exploded; a block's payload then comes once, beside the ids that are looked for in it
+    wanted = blocks.select("file", "block", F.explode("doc_ids").alias("doc_id")).where(only).groupBy("file", "block").agg(F.collect_set("doc_id").alias("wanted"))
+    rows = blocks.join(wanted, ["file", "block"]).select("wanted", "start", "doc_ids", "n_tokens", "payload")
 
     def run(batches):
         table = Table(freq)
         for b in batches:
-            each = [part_of(p, table, a, a + n).view(np.int32) for a, n, p in zip(*(b.column(c).to_pylist() for c in ("a", "n_tokens", "payload")), strict=True)]
-            yield pa.record_batch([b.column("doc_id"), b.column("start"), b.column("n_tokens"), pa.array(each, pa.list_(pa.int32()))], ["doc_id", "start", "n_tokens", "ids"])
+            for k, (wanted, start, n, payload) in enumerate(zip(*(b.column(c).to_pylist() for c in ("wanted", "start", "n_tokens", "payload")), strict=True)):
+                ids = b.column("doc_ids")[k].values
+                upto = np.cumsum(n)
+                at = np.flatnonzero(pc.is_in(ids, pa.array(wanted, ids.type)).to_numpy(zero_copy_only=False))
+                each = [part_of(payload, table, int(upto[i] - n[i]), int(upto[i])).view(np.int32) for i in at]
+                yield pa.record_batch(
+                    [ids.take(pa.array(at)), pa.array(start + upto[at] - np.array(n)[at], pa.int64()), pa.array(np.array(n)[at], pa.int64()), pa.array(each, pa.list_(pa.int32()))],
+                    ["doc_id", "start", "n_tokens", "ids"],
+                )
 
     return rows.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids array<int>")
 

@@ -53,3 +53,33 @@ def test_sketches_merge_and_estimate_containment():
     halves = fp.merge(fp.sketch(text[:70_000]), fp.sketch(text[70_000 - fp.WIDTH + 1 :]))
     assert np.array_equal(halves[halves < (1 << 32) // fp.FRACTION], b[b < (1 << 32) // fp.FRACTION])
     assert np.array_equal(fp.from_text(fp.text_of(a)), a)
+
+
+def test_many_small_ranges_with_nulls_ties_and_one_large_text(spark, monkeypatch):
+    from quillmark.llm import common
+
+    rows = [(k * 7 % 900 - 100, f"text {k} " * (k % 40)) for k in range(900)] + [(4, "d" * 40_000), (None, "e" * 99), (None, "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sized = df.selectExpr("doc_id id", "octet_length(text) w")
+    ranges = common.id_ranges(sized, 1000)
+    assert len(ranges) > 64 and ranges.nulls
+    placed = sized.withColumn("part", ranges.of("id")).collect()
+    order = sorted(placed, key=lambda r: (r["id"] is not None, r["id"] or 0))
+    assert [r["part"] for r in order] == sorted(r["part"] for r in order)  # ranges are in the order of ids
+    for k in range(len(ranges)):
+        mine = [r["w"] for r in placed if r["part"] == k]
+        assert mine and ranges.before[k] == sum(r["w"] for r in placed if r["part"] < k)
+        assert sum(mine) <= 1000 + 40_300  # one id more than the size at most
+    monkeypatch.setattr(common, "MOST_RANGES", 3)
+    assert len(common.id_ranges(sized, 1000)) <= 3 + common.parts(spark) + 1
+    monkeypatch.undo()
+    monkeypatch.setattr(fp, "id_ranges", lambda x: common.id_ranges(x, 1000))
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, *tuple(r)[1:]) for r in fp.compared(df).collect())
+    ordered = sorted((i is not None, i or 0, t) for i, t in rows)
+    want = []
+    for k, (known, i, t) in enumerate(ordered):
+        nxt = ordered[(k + 1) % len(ordered)][2]
+        e = fp.edited(t, nxt)
+        a, b, c = map(fp.sketch, (t, e, nxt))
+        want.append((known, i, len(t), hashlib.sha256(e.encode()).hexdigest(), fp.text_of(a), fp.text_of(b), fp.likeness(a, b), fp.likeness(a, c)))
+    assert got == sorted(want)

@@ -117,3 +117,15 @@ def test_chosen_documents_alone(spark, tmp_path):
     every = {r["doc_id"]: tuple(r) for r in rans.read(spark, str(tmp_path / "b")).collect()}
     some = rans.read(spark, str(tmp_path / "b"), F.col("doc_id").isin(0, 17, 399)).collect()
     assert {r["doc_id"]: tuple(r) for r in some} == {k: every[k] for k in (0, 17, 399)}
+    assert rans.read(spark, str(tmp_path / "b"), F.col("doc_id") > 400).collect() == []
+    twice = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "c"), (None, "d")], "doc_id long, text string")
+    rans.write(twice, PATH, str(tmp_path / "t"))
+    assert sorted(r["start"] for r in rans.read(spark, str(tmp_path / "t"), F.col("doc_id") == 1).collect()) == [2, 5]
+
+
+def test_many_files(spark, monkeypatch):
+    monkeypatch.setattr(rans, "RANGE", 4 * 100)
+    rows = [(k * 7 % 400 - 50, f"text {k} " * (k % 30)) for k in range(400)] + [(900, "long " * 3000)]
+    found, at = got(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found == expected(rows)
+    assert spark.read.parquet(f"{at}/blocks").select("file").distinct().count() > 64
