@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmark.functions import scalars as X
+from quillmark.functions import patterns as P
 from quillmark.sources import documents as D
 
 REFERENCES = [
@@ -71,3 +72,23 @@ def test_no_piece_holds_more_than_a_div(spark, tmp_path):
         (tmp_path / f"{n}" / "f.html").write_text("".join(f'<div class="page"><p>{i}</p></div>' for i in range(n)))
     longest = [D.file_pieces(spark, str(tmp_path / f"{n}")).agg(F.max(F.length("piece"))).first()[0] for n in (50, 500)]
     assert max(longest) < 40
+
+
+def test_pages_are_made_once(spark):
+    """Places and lines both read a document's pieces; what makes its html runs once for each document."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def html(n):
+        made.add(1)
+        return f'<div class="page"><p>{n}</p><div class="page"><p>x</p></div></div>'
+
+    docs = spark.range(3).select(F.col("id").alias("doc_id"), html.asNondeterministic()("id").alias("html"))
+    assert D.paged_lines(docs).count() == 9
+    assert made.value == 3
+
+
+def test_blank_and_trailing_space(spark):
+    rows = spark.createDataFrame([(" 1  text \u00a0",), ("\u00a0 \t",), ("",), (" 2  a\u2003b",), ("no number \u2003",)], "raw string")
+    got = rows.select(P.is_blank(F.col("raw")).alias("b"), P.line_body(F.col("raw")).alias("t")).collect()
+    assert [(r["b"], r["t"]) for r in got] == [(False, "text"), (True, ""), (True, ""), (False, "a\u2003b"), (False, "no number")]
