@@ -39,6 +39,8 @@ WHOLE_RADIUS = 98
 #: Most members of one group that stand on either side of a piece of work, and about as many shingles.
 BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 KEEP, OF = 75, 100
+#: Bits that tell by a hash which ids are chosen, 64 in a row; so many rows are broadcast at most.
+BITS = 1 << 24
 
 _rng = np.random.default_rng(5)
 _A = _rng.integers(1, 1 << 32, INDEXED + REFINING, dtype=np.uint32) | np.uint32(1)
@@ -136,6 +138,17 @@ def like_sizes(a, b):
     return OF * F.least(a, b) >= KEEP * F.greatest(a, b)
 
 
+def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (id, ...) whose id's bit is set by one of ``ids``: all rows of these ids and few others.
+
+    So other texts aren't moved where there are too many ids to copy them to all tasks. The bits are of fixed number; ids beyond it only let more rows pass.
+    """
+    slot = F.pmod(F.xxhash64("id"), F.lit(BITS))
+    word, bit = F.shiftright(slot, 6).alias("__w"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    bits = ids.select(word, bit.alias("__b")).groupBy("__w").agg(F.bit_or("__b").alias("__bits"))
+    return docs.withColumn("__w", word).join(F.broadcast(bits), "__w").where(F.col("__bits").bitwiseAND(bit) != 0).drop("__w", "__bits")
+
+
 def full_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, set): the sorted shingle hashes of the documents whose ids are given."""
     kind = dict(ids.dtypes)["id"]
@@ -149,7 +162,8 @@ def full_sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Da
             values = np.concatenate(flat) if flat else np.zeros(0, np.uint64)
             yield pa.record_batch([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))], ["id", "set"])
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(ids.distinct(), "id", "left_semi").dropDuplicates(["id"])
+    texts = likely(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")), ids)
+    texts = texts.join(ids.distinct(), "id").dropDuplicates(["id"])  # a semi join would be moved below the one with the bits
     return texts.mapInArrow(run, f"id {kind}, set array<long>")
 
 

@@ -98,3 +98,19 @@ def test_hot_key_is_split_into_blocks(spark, monkeypatch):
             t[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
         rows.append((i, " ".join(t)))
     assert got(spark, rows) == brute(rows)
+
+
+def test_texts_that_no_pair_names_are_not_moved(spark):
+    docs = spark.range(20_000).selectExpr("id doc_id", "concat('a b c d e ', id) text")
+    ids = spark.range(0, 20_000, 100).toDF("id")
+    few = neardup.likely(docs.withColumnRenamed("doc_id", "id"), ids)
+    found = {r["id"] for r in few.collect()}
+    assert found >= set(range(0, 20_000, 100)) and len(found) < 250
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = neardup.full_sets(ids, docs, "doc_id", "text")
+        assert {r["id"] for r in sets.collect()} == set(range(0, 20_000, 100))
+        plan = sets._jdf.queryExecution().sparkPlan().toString()  # the root comes first
+        assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
