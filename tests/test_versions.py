@@ -204,3 +204,22 @@ def test_header_groups_close_stop_and_cross_pages(spark):
     starts = spark.createDataFrame([("d", 2), ("d", 5), ("d", 7), ("d", 9), ("d", 1)], "doc string, place long")
     got = sorted((r["start"], r["page_idx"], r["line_num"]) for r in E.headers_of(places, groups, starts, ["doc"]).collect())
     assert got == [(2, 0, 1), (5, 0, 4), (7, 1, 2), (9, 1, 2), (9, 1, 3), (9, 2, 1)]
+
+
+def test_rows_of_one_large_key_are_compared_in_many_pieces(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choices(["aid", "road", "school", "fund", "water", "grant"], k=12)) + " tail" * 40
+    p, c = ([("G", k, text()) for k in range(n)] for n in (150, 140))
+    schema = "fund string, rec_idx long, bill_language string"
+    want, used = set(), set()
+    for _, i, x in p:
+        ratios = [(-difflib.SequenceMatcher(None, x[:150], y[:150]).ratio(), j) for _, j, y in c if j not in used]
+        best = min(ratios, default=(0, None))
+        if -best[0] >= 0.4:
+            used.add(best[1])
+            want.add((i, best[1]))
+    left, right = spark.createDataFrame(p, schema), spark.createDataFrame(c, schema)
+    assert {(r["prior_idx"], r["current_idx"]) for r in R.match_by_text(left, right, ["fund"]).collect()} == want
+    a, b, tasks = R.text_pieces(left.selectExpr("fund __k", "rec_idx __i"), right.selectExpr("fund __k", "rec_idx __j"))
+    sizes = [r["count"] for r in a.join(b, ["__k", "__p", "__q"]).groupBy("__p", "__q").count().collect()]
+    assert sum(sizes) == 150 * 140 and max(sizes) < 2 * R.SIDE**2 and len(sizes) == 9 and tasks == 22
