@@ -92,3 +92,10 @@ def test_blank_and_trailing_space(spark):
     rows = spark.createDataFrame([(" 1  text \u00a0",), ("\u00a0 \t",), ("",), (" 2  a\u2003b",), ("no number \u2003",)], "raw string")
     got = rows.select(P.is_blank(F.col("raw")).alias("b"), P.line_body(F.col("raw")).alias("t")).collect()
     assert [(r["b"], r["t"]) for r in got] == [(False, "text"), (True, ""), (True, ""), (False, "a\u2003b"), (False, "no number")]
+
+
+def test_a_reference_is_looked_up_once_for_each_text(spark):
+    texts = ["&#x65;&#101; &period;&amp &amp;&unknown; &notit; &#0;&#x80;" * 40, "no reference", "& alone &", "", "&lt;" * 3 + "&LT" * 2, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.unescaped(F.col("t")).alias("u"))
+    assert all(r["u"] == (None if r["t"] is None else html.unescape(r["t"])) for r in df.collect())
+    assert "array_distinct" in df._jdf.queryExecution().optimizedPlan().toString()
