@@ -223,3 +223,62 @@ def test_rows_of_one_large_key_are_compared_in_many_pieces(spark):
     a, b, tasks = R.text_pieces(left.selectExpr("fund __k", "rec_idx __i"), right.selectExpr("fund __k", "rec_idx __j"))
     sizes = [r["count"] for r in a.join(b, ["__k", "__p", "__q"]).groupBy("__p", "__q").count().collect()]
     assert sum(sizes) == 150 * 140 and max(sizes) < 2 * R.SIDE**2 and len(sizes) == 9 and tasks == 22
+
+
+def exact_first(p, c):
+    """(i, j) of rows (i, key, amount), equal amounts first, then what is left in order."""
+    out, taken = set(), set()
+    for equal in (True, False):
+        for i, k, a in sorted(p, key=lambda r: r[0]):
+            hit = next((j for j, l, b in sorted(c, key=lambda r: r[0]) if j not in taken and (k or "") == (l or "") and (not equal or (a is not None and a == b))), None)
+            if hit is not None and i not in {x for x, _ in out}:
+                taken.add(hit)
+                out.add((i, hit))
+    return out
+
+
+def nullable(rng, first, n):
+    return [(first + k, rng.choice([None, "", "a", "b", "c", "d"]), rng.choice([None, 1, 2, 3])) for k in range(n)]
+
+
+def test_every_row_of_both_versions_is_told_once_with_its_own_columns(spark):
+    for seed, mode in ((1, "exact_first"), (2, "exact_first"), (3, "greedy"), (4, "greedy")):
+        rng = random.Random(seed)
+        p, c = nullable(rng, 0, 40), nullable(rng, 20, 44)
+        left, right = (df.withColumn("source", F.concat(F.lit(s), F.col("rec_idx"))) for df, s in zip(frames(spark, p, c), "pc", strict=True))
+        own, other = {r[0]: r for r in p}, {r[0]: r for r in c}
+        want = exact_first(p, c) if mode == "exact_first" else greedy_null(p, c)
+        rows = [tuple(r) for gathered in (False, True) for r in R.compare_versions(left, right, ["key"], carried=["source"], mode=mode, gathered=gathered).collect()]
+        status = lambda i, j: "continued" if own[i][2] is not None and own[i][2] == other[j][2] else "modified"
+        met = {(i, j, own[i][1], f"p{i}", own[i][2], other[j][2] or 0) for i, j in want}
+        lost = {(i, -1, own[i][1], f"p{i}", own[i][2], 0) for i in own.keys() - {i for i, _ in want}}
+        new = {(-1, j, other[j][1], f"c{j}", 0, other[j][2] or 0) for j in other.keys() - {j for _, j in want}}
+        assert {(r[1], r[2], *r[4:]) for r in rows} == met | lost | new and len(rows) == 2 * len(met | lost | new)
+        assert all(r[3] == ("full_key" if r[1] >= 0 and r[2] >= 0 else "") for r in rows)
+        assert all(r[0] == ("new" if r[1] < 0 else "dropped" if r[2] < 0 else status(r[1], r[2])) for r in rows if None not in (own.get(r[1], (0, 0, 0))[2], other.get(r[2], (0, 0, 0))[2]))
+
+
+def greedy_null(p, c):
+    """A walk in which null amounts are equal."""
+    return greedy(*([(i, k or "", -1 if a is None else a) for i, k, a in rows] for rows in (p, c)))
+
+
+def test_versions_that_lie_together_are_moved_once_and_meet_without_a_join(spark):
+    plan = Q.reconcile_one_to_one(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") <= 2  # the table by its key, once for each version and the same
+
+
+def test_only_keys_with_several_rows_left_on_both_sides_are_followed(spark, monkeypatch):
+    seen, followed = [], R._followed
+
+    def counted(p, c, kind):
+        seen.append((p.count(), c.count()))
+        return followed(p, c, kind)
+
+    monkeypatch.setattr(R, "_followed", counted)
+    p = [(k, f"one{k}", 1) for k in range(9)] + [(20 + k, "few", k) for k in range(4)] + [(30 + k, "many", 3 - k) for k in range(3)]
+    c = [(100 + k, f"one{k}", 2) for k in range(9)] + [(120, "few", 9), (121, "few", 1)] + [(130 + k, "many", 7 + k) for k in range(3)]
+    for gathered in (False, True):
+        got = R.compare_versions(*frames(spark, p, c), ["key"], mode="greedy", gathered=gathered)
+        assert {(r["prior_idx"], r["current_idx"]) for r in got.collect() if r["prior_idx"] >= 0 and r["current_idx"] >= 0} == greedy(p, c)
+    assert seen == [(7, 5)] * 2
