@@ -282,3 +282,32 @@ def test_only_keys_with_several_rows_left_on_both_sides_are_followed(spark, monk
         got = R.compare_versions(*frames(spark, p, c), ["key"], mode="greedy", gathered=gathered)
         assert {(r["prior_idx"], r["current_idx"]) for r in got.collect() if r["prior_idx"] >= 0 and r["current_idx"] >= 0} == greedy(p, c)
     assert seen == [(7, 5)] * 2
+
+
+def test_ratios_of_whole_texts_are_those_of_difflib(monkeypatch):
+    from quillmark.functions import likeness as T
+
+    rng = random.Random(7)
+    for n in range(120):
+        letters = rng.choice(["a", "ab", "abcdefgh", "ab \u00e9\U0001f600"])
+        text = lambda most=60: "".join(rng.choices(letters, k=rng.randrange(most)))
+        a = [text(400 if n % 10 == 0 else 60) for _ in range(3)]
+        b = [text(), rng.choice(a) * 2 + text(), rng.choice(a)[5:] + text()]
+        monkeypatch.setattr(T, "SORTED", 80 if n % 3 == 0 else 400_000)
+        monkeypatch.setattr(T, "BATCH", 70 if n % 3 == 0 else 400_000)
+        for least in (0.0, 0.4, 0.8):
+            want = {(i, j): r for i, x in enumerate(a) for j, y in enumerate(b) if (r := difflib.SequenceMatcher(None, x, y, autojunk=False).ratio()) >= least}
+            assert {(i, j): r for parts in T.ratios(a, b, least) for i, j, r in zip(*(p.tolist() for p in parts), strict=True)} == want
+
+
+def test_documents_are_compared_by_their_whole_texts(spark, tmp_path):
+    from quillmark.queries import QUERIES
+
+    # alike for 150 code points, told apart by what stands behind them only
+    rng = random.Random(11)
+    tails = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(60)) for _ in range(4)]
+    head = "The " + "same " * 40
+    rows = [(2 * k, "en", head + t) for k, t in enumerate(tails)] + [(2 * (3 - k) + 1, "en", head + t[:-1] + "!") for k, t in enumerate(tails)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["prior_idx"], r["current_idx"]) for r in QUERIES["reconcile_text"](spark, str(tmp_path)).collect()}
+    assert got == {(0, 7), (2, 5), (4, 3), (6, 1)}
