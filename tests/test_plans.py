@@ -118,3 +118,31 @@ def test_each_tag(spark):
     assert tags(spark, [("struck", " 1  x")]) == ["empty-insert"] and tags(spark, ok[1:3]) == ["no-strikes"]
     assert tags(spark, ok, chapter=True, fund=True) == ["missing-chyr-header", "missing-fund-header"]
     assert tags(spark, [("keep", " 1  General Fund"), ("keep", " 2  By chapter 1, section 2, of the laws of 2020:"), *ok], chapter=True, fund=True) == []
+
+
+def test_a_plan_leaves_no_stage_but_its_own(spark):
+    import os
+
+    at = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(at))
+    plan = bill_plan(spark, "/root/testdata/sf0.001")
+    left = set(os.listdir(at)) - before
+    assert len(left) == 1 and plan.inputFiles() and all(next(iter(left)) in f for f in plan.inputFiles())
+    assert plan.where("label is not null").count() > 100
+
+
+def test_what_is_shuffled_for_a_stage_is_freed_and_passing_stages_go(spark):
+    import os
+
+    from quillmark.sources.stages import passing, staged
+
+    at = spark.conf.get("spark.checkpoint.dir")
+    before, was = set(os.listdir(at)), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    with passing(spark) as outer:
+        with passing(spark) as keep:
+            one = staged(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+            two = keep(one.groupBy().sum("count"))
+        assert len(set(os.listdir(at)) - before) == 1
+        three = outer(two)
+    assert len(set(os.listdir(at)) - before) == 1 and three.first()[0] == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == was
